@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import langid, quality
+from strataflux.llm import bpe, langid, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,25 @@ def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cascade(rows, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("passed").alias("kept"))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(ids, text):
+        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary("byte_bpe_50k.json"), digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
