@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import bpe, langid, packing, quality
+from strataflux.llm import bpe, langid, neardup, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(ids, text):
         return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text).hexdigest()
