@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import bpe, langid, neardup, packing, quality
+from strataflux.llm import bpe, langid, neardup, packing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(text, words, gone):
+        return len(words), int(gone.sum()), hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist()) if not g)).hexdigest()
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.apply(docs, substrings.repeats(docs), digest, "n_words long, n_removed long, kept_sha256 string")
+    return out.select("doc_id", "result.*")
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
