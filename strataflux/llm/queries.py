@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import ann, bpe, langid, linededup, neardup, packing, quality, substrings
+from strataflux.llm import ann, bpe, langid, licenses, linededup, neardup, packing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, vocabulary("byte_bpe_50k.json"), digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
