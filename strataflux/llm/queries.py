@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import ann, bpe, langid, licenses, linededup, neardup, packing, quality, substrings
+from strataflux.llm import ann, bpe, html, langid, licenses, linededup, neardup, packing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=3, percent=85)
 
