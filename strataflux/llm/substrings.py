@@ -20,6 +20,7 @@ not count as earlier for each other. An empty table gives an empty result. Only
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -218,6 +219,24 @@ def removed(h: np.ndarray, found: list | None, size: int) -> np.ndarray:
     return gone.cumsum()[: len(h)] > 0
 
 
+def without(text: str | None, words: list[bytes], gone: np.ndarray) -> tuple[str | None]:
+    """For :func:`apply`: the text without the words that go and the white space after each."""
+    if text is None or not gone.any():
+        return (text,)
+    parts = re.findall(rb"[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text.encode("utf-8", "surrogatepass"))
+    out, k, last = [], -1, False
+    for p in parts:
+        if p[:1].isspace():
+            if not last:
+                out.append(p)
+        else:
+            k += 1
+            last = bool(gone[k])
+            if not last:
+                out.append(p)
+    return (b"".join(out).decode("utf-8", "surrogatepass"),)
+
+
 def apply(docs: DataFrame, found: DataFrame, finish: Callable[[str | None, list[bytes], np.ndarray], tuple], schema: str, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with a struct column ``result`` of ``finish(text, words, which go)``. Where few texts lose words, only these are shuffled."""
 
