@@ -8,7 +8,8 @@ the later document. Lines are judged on the input.
 
 Null text has no lines; a null id is never searched nor changed. Repeated rows of an id are changed alike and
 are not earlier than each other. Blank lines count as part of a block that surrounds them. Only hashes of lines
-are shuffled until the texts that lose lines are rewritten.
+are shuffled until the texts that lose lines are rewritten. Tables that grow with the corpus meet by sort-merge joins at
+every size.
 """
 
 from __future__ import annotations
@@ -113,9 +114,9 @@ def repeated_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_W
     # Rows of one id: the first in order of their lines stands for the id as a partner.
     each = lines.select("doc_id", F.explode(F.array_distinct(F.col("lines"))).alias("line")).where(F.col("line") != 0)
     known = materialise(each.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("first < most").select("line", "first", "n"))
-    meets = each.join(known, "line").where("doc_id > first")
+    meets = each.join(known.hint("merge"), "line").where("doc_id > first")
     rarest = meets.groupBy("doc_id").agg(F.min("n").alias("fewest"))
-    pairs = materialise(meets.join(rarest, "doc_id").where((F.col("n") <= rare) | (F.col("n") == F.col("fewest"))).select("doc_id", "first").distinct())
+    pairs = materialise(meets.join(rarest.hint("merge"), "doc_id").where((F.col("n") <= rare) | (F.col("n") == F.col("fewest"))).select("doc_id", "first").distinct())
     one = lines.groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("own"))
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,8 +124,8 @@ def repeated_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_W
             gone = [blocks(patience(a.tolist(), own.tolist()), n, block_words) for a, own, n in zip(b["before"], b["lines"], b["words"])]
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "gone": gone})
 
-    later = pairs.join(lines, "doc_id")
-    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before")), "first").select("doc_id", "key", "before", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
+    later = pairs.join(lines.hint("merge"), "doc_id")
+    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before")).hint("merge"), "first").select("doc_id", "key", "before", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
     found = aligned.select("doc_id", "key", F.explode("gone").alias("line")).distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("line")).alias("gone"))
     out = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "gone")).alias("found")))
     discard(lines, known, pairs)
@@ -152,7 +153,7 @@ def apply(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
             out.append(("\n".join(y for k, y in enumerate(x.split("\n")) if k not in gone) if gone else x, len(gone)))
         return pd.DataFrame(out, columns=["text", "n_removed_lines"])
 
-    hit = docs.join(wanted, id_col, "left_semi").join(found.withColumnRenamed("doc_id", id_col), id_col).withColumn("n_lines", n_lines).withColumn("_cut", cut(text, "found"))
+    hit = docs.join(wanted, id_col, "left_semi").join(found.withColumnRenamed("doc_id", id_col).hint("merge"), id_col).withColumn("n_lines", n_lines).withColumn("_cut", cut(text, "found"))
     hit = hit.withColumns({text_col: F.col("_cut.text"), "n_removed_lines": F.col("_cut.n_removed_lines")}).drop("_cut", "found")
     rest = docs.join(wanted, id_col, "left_anti").withColumns({"n_lines": n_lines, "n_removed_lines": F.lit(0).cast("long")})
     return rest.unionByName(hit)
