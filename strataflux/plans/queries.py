@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from strataflux.functions import regress
 from strataflux.functions.expr import grade, level, status_label
-from strataflux.operators import deck, judge, qc, results, spatial, timeline
+from strataflux.operators import deck, judge, qc, results, spatial, timeline, windows
 
 MASTER = "1998-07-01"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -465,6 +465,43 @@ def late_replay(spark, sf_dir):
     return cycle.replay(spark, f"{sf_dir}/events.parquet")
 
 
+@query(
+    f"""WITH t AS (SELECT n_nationkey AS tile, (n_nationkey % 5) * 600.0 AS w, (n_nationkey % 5) * 600.0 + 700 AS e, (n_nationkey // 5) * 600.0 AS s, (n_nationkey // 5) * 600.0 + 500 AS n FROM nation),
+  p AS (SELECT nation % 4 AS burst, x, y, bal > 0 AS valid FROM {CUSTOMER_PLACES_SQL}),
+  c AS (SELECT tile, burst, least(count(*) * 20000.0 / ((max(e) - max(w)) * (max(n) - max(s))), 1) * avg(CAST(valid AS INT)) AS score FROM p JOIN t ON x >= w AND x < e AND y >= s AND y < n GROUP BY ALL)
+SELECT tile, burst, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY score DESC, burst) AS k FROM c) WHERE k = 1 AND score >= 0.3"""
+)
+def window_coverage(spark, sf_dir):
+    k = F.col("n_nationkey")
+    w, s = (k % 5) * 600.0, F.floor(k / 5) * 600.0
+    t = table(spark, sf_dir, "nation").select(k.alias("tile"), w.alias("W"), (w + 700).alias("E"), s.alias("S"), (s + 500).alias("N"))
+    p = table(spark, sf_dir, "customer").select((F.col("c_nationkey") % 4).alias("burst"), (F.col("c_custkey") * 6151 % 3000).cast("double").alias("x"), (F.col("c_custkey") * 3571 % 3000).cast("double").alias("y"), (F.col("c_acctbal") > 0).alias("valid"))
+    return windows.best_burst(windows.coverage(p, t, 100.0, 20000.0), 0.3).select("tile", "burst", F.round("score", 6).alias("score"))
+
+
+@query("SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS track FROM events WHERE (CAST(ts AS DATE), event_type) NOT IN (SELECT CAST(ts AS DATE), event_type FROM events WHERE event_id % 97 = 0) AND day(ts) % 7 <> 0")
+def missing_dates(spark, sf_dir):
+    from strataflux.streaming import cycle
+
+    e = table(spark, sf_dir, "events").select(F.to_date("ts").cast("string").alias("date"), F.col("event_type").alias("track"), "event_id", F.dayofmonth("ts").alias("day"))
+    return cycle.missing_dates(e.select("date", "track").distinct(), e.where("event_id % 97 = 0"), e.where("day % 7 = 0"), ["date", "track"])
+
+
+@query("WITH m AS (SELECT CAST(l_shipdate AS DATE) AS d, median(l_quantity) AS m FROM lineitem WHERE l_quantity > 0 GROUP BY 1) SELECT l_returnflag AS track, round(avg(l_quantity / m), 6) AS calamp, count(*) AS n FROM lineitem JOIN m ON d = CAST(l_shipdate AS DATE) GROUP BY 1")
+def calibrated_amplitude(spark, sf_dir):
+    from strataflux.operators import kernels
+
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("track"), F.to_date("l_shipdate").alias("d"), F.col("l_quantity").alias("amp"))
+    return kernels.calibrated(li, "d", "amp").groupBy("track").agg(F.round(F.avg("amp"), 6).alias("calamp"), F.count("*").alias("n"))
+
+
+@query("SELECT s_suppkey AS id, zone, CASE WHEN floor(l / sp) >= 1 THEN zone * sp - l / 2 WHEN zone = 0 THEN -l / 2 ELSE l / 2 END AS zone_s FROM (SELECT *, unnest(range(0, greatest(CAST(floor(l / sp) AS BIGINT), 1) + 1)) AS zone FROM (SELECT s_suppkey, s_suppkey % 90 + 10.0 AS l, CASE s_suppkey % 3 WHEN 0 THEN 30.0 WHEN 1 THEN 15.0 ELSE 50.0 END AS sp FROM supplier))")
+def support_zones(spark, sf_dir):
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(k.alias("id"), (k % 90 + 10.0).alias("len"), F.when(k % 3 == 0, 30.0).when(k % 3 == 1, 15.0).otherwise(50.0).alias("span"))
+    return deck.supports(s, F.col("len") / 2, F.col("span")).select("id", F.col("zone").cast("long").alias("zone"), "zone_s")
+
+
 @query()
 def emi_kernel(spark, sf_dir):
     from strataflux.operators import kernels
