@@ -62,13 +62,15 @@ def point_metrics(spark, sf_dir):
 def ground(spark, sf_dir) -> DataFrame:
     """Series less the median of all structures of the nation on each date, velocities, and the scale of the nation's velocities."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("bridge"), F.col("s_nationkey").alias("tile"))
+    # Windows instead of joins back: the table is read and summed once.
     obs = observations(spark, sf_dir).join(s, "bridge")
-    ring = obs.groupBy("tile", "d").agg(F.median("y").alias("ring"))
-    rel = obs.join(ring, ["tile", "d"]).withColumn("y", F.col("y") - F.col("ring"))
-    v = regress.velocity(rel, ["tile", "bridge"], "y").where("n >= 12")
-    scale = regress.robust_scale(v, ["tile"], "v").withColumnRenamed("scale", "sigma")
-    years = rel.groupBy("bridge").agg((F.max("t") - F.min("t")).alias("years"))
-    return v.join(scale, "tile").join(years, "bridge")
+    rel = obs.withColumn("y", F.col("y") - F.median("y").over(Window.partitionBy("tile", "d")))
+    w = Window.partitionBy("tile", "bridge")
+    rel = rel.withColumn("years", F.max("t").over(w) - F.min("t").over(w))
+    v = regress.velocity(rel, ["tile", "bridge", "years"], "y").where("n >= 12")
+    tile = Window.partitionBy("tile")
+    v = v.withColumn("mid", F.median("v").over(tile))
+    return v.withColumn("sigma", F.median(F.abs(F.col("v") - F.col("mid"))).over(tile) * 1.4826)
 
 
 REL_SQL = f"""(SELECT o.bridge, s_nationkey AS tile, o.d, o.t, o.y - median(o.y) OVER (PARTITION BY s_nationkey, o.d) AS y
