@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strataflux.llm.common import BROADCAST_IDS, discard, materialise, text_words, windows_of, word_hashes
 from strataflux.llm.components import components
@@ -33,8 +33,8 @@ from strataflux.llm.components import components
 COORDINATES, ROOTS = 64, 12
 #: Classes outside a node's largest component up to which it is compared exhaustively.
 SMALL = 32
-#: Coordinates on which the sketches of a candidate must agree, of 64, at a threshold of 0.85.
-DEPTH = 10
+#: Levels of branching. What is still in large nodes after the last is joined by rarest shingles, which is exact.
+DEPTH = 2
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -97,7 +97,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
     def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
         sizes = F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent
-        found = a.alias("a").join(b.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & (F.col("a.label") != F.col("b.label")) & sizes & (_agree() >= least))
+        found = a.alias("a").join(b.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & (F.col("a.label") != F.col("b.label")) & sizes & (_agree() >= least))
         return found.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
     def sets_of(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -106,18 +106,44 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                 sets = [shingle_set(x, size) for x in b["text"].iloc[lo : lo + 500]]
                 yield pd.DataFrame({"cls": [class_of(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
+    def full_sets(wanted: DataFrame) -> DataFrame:
+        """(cls, shingles) of the wanted classes; only their texts are read out of the table and shuffled."""
+        ids = materialise(wanted.distinct().join(classes.select("cls", "first"), "cls").select(F.col("first").alias("doc_id")).distinct())
+        few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        sets = materialise(docs.join(few, "doc_id", "left_semi").mapInPandas(sets_of, "cls long, shingles array<long>").dropDuplicates(["cls"]))
+        discard(ids)
+        return sets
+
     def confirm(pairs: DataFrame) -> DataFrame:
-        """The pairs that are links, by their full sets. Only the texts of candidates are shuffled."""
+        """The pairs that are links, by their full sets."""
         pairs = materialise(pairs)
-        ids = materialise(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct().join(classes.select("cls", "first"), "cls").select(F.col("first").alias("doc_id")).distinct())
-        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        sets = materialise(docs.join(wanted, "doc_id", "left_semi").mapInPandas(sets_of, "cls long, shingles array<long>").dropDuplicates(["cls"]))
-        both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
+        sets = full_sets(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))))
+        both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         links = materialise(both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"))
-        discard(pairs, ids, sets)
+        discard(pairs, sets)
         return links
 
+    def loners(rows: DataFrame) -> DataFrame:
+        """Classes of ``rows`` with so many shingles that no other one of them has that none of these can be similar enough."""
+        sets = full_sets(rows.select("cls"))
+        private = sets.select("cls", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1").groupBy("cls").agg(F.count("*").alias("own"))
+        out = materialise(sets.select("cls", F.size("shingles").alias("size")).join(private, "cls").where(F.col("own") * 100 > F.col("size") * (100 - percent)).select("cls"))
+        discard(sets)
+        return out
+
+    def by_rarest(rows: DataFrame) -> DataFrame:
+        """All pairs of different components that can be links: such sets share one of the rarest shingles of each, as many as may differ and one more."""
+        sets = full_sets(rows.select("cls"))
+        each = sets.select("cls", F.explode("shingles").alias("s"))
+        count = each.groupBy("s").agg(F.count("*").alias("df"))
+        order = F.row_number().over(Window.partitionBy("cls").orderBy("df", "s"))
+        first = each.join(count.hint("merge"), "s").withColumn("_r", order).where("df > 1").join(rows, "cls").where(F.col("_r") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)
+        first = materialise(first.drop("_r", "df").withColumnRenamed("s", "node"))
+        pairs = materialise(candidates(first, first))
+        discard(sets, first)
+        return pairs
+
     def branch(nodes: DataFrame, level: int) -> DataFrame:
         """Children of nodes: a row for each of the coordinates that the node chooses."""
         half = (COORDINATES - ROOTS) // 2
@@ -134,7 +160,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     def labelled(nodes: DataFrame) -> DataFrame:
         if labels is None:
             return nodes.withColumn("label", F.col("cls"))
-        return nodes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        return nodes.join(labels.hint("merge"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
     def mixed(nodes: DataFrame) -> DataFrame:
         """Nodes of more than one component: their first class, largest component and the count of classes outside it."""
@@ -153,16 +179,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     for level in range(DEPTH):
         nodes = labelled(nodes)
         shape = mixed(nodes)
-        nodes = materialise(nodes.join(shape.select("node", "pivot"), "node"))
+        nodes = materialise(nodes.join(shape.select("node", "pivot").hint("merge"), "node"))
         if nodes.isEmpty():
             break
         link(candidates(nodes.where("cls = pivot"), nodes.where("cls <> pivot")))
         again = labelled(nodes.drop("label", "pivot"))
-        shape = mixed(again).withColumn("exhaust", (F.col("outside") <= SMALL) | F.lit(level == DEPTH - 1))
-        again = materialise(again.join(shape.select("node", "main", "exhaust"), "node"))
+        again = materialise(again.join(mixed(again).hint("merge"), "node"))
         discard(nodes)
-        link(candidates(again.where("exhaust and label <> main"), again.where("exhaust")))
-        left = again.where("not exhaust").select(*columns)
+        easy, hard = again.where(F.col("outside") <= SMALL), again.where(F.col("outside") > SMALL)
+        left = hard.limit(0).select(*columns)
+        if not hard.isEmpty():
+            alone = loners(hard)
+            rest = hard.drop("pivot", "main", "outside").join(alone, "cls", "left_anti")
+            rest = materialise(rest.join(mixed(rest).hint("merge"), "node"))
+            easy = easy.unionByName(rest.where(F.col("outside") <= SMALL), allowMissingColumns=True)
+            left = rest.where(F.col("outside") > SMALL).select(*columns)
+        link(candidates(easy.where("label <> main"), easy))
+        if level == DEPTH - 1 and not left.isEmpty():
+            link(by_rarest(labelled(left.drop("node").distinct())))
         nodes = branch(left.join(classes.select("cls", "mh"), "cls"), level + 1).select(*columns)
 
     out = rows.select("doc_id", "n_shingles", "cls")
@@ -174,5 +208,5 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     else:
         of_class = of_class.withColumnRenamed("first", "component_id")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    out = out.join(of_class, "cls", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = out.join(of_class.hint("merge"), "cls", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
