@@ -8,7 +8,7 @@
 3. Each chunk meets the ids of its own words again and puts them in the places of its words;
    pieces found by id give the decoded text.
 
-Only numbers and words that differ within a chunk are shuffled, never a row for each word.
+Only words that differ within a chunk are shuffled, and their ids back; numbers wait in buckets by chunk.
 Null and empty texts have no ids and decode to the empty text. Null ids and repeated rows
 give a row each. Other columns are left out.
 """
@@ -28,12 +28,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import materialise
+from strataflux.llm.common import materialise_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words in a chunk, and texts in a row of numbers.
-CHUNK_WORDS, BLOCK_TEXTS = 3_000_000, 256
+CHUNK_WORDS, BLOCK_TEXTS = 6_000_000, 256
 _odd = re.compile(r"\s ").search
 _cut = re.compile(r"(?<=\S)(?= )").split
 
@@ -49,12 +49,19 @@ def tokenizer(path: str):
     return t
 
 
+def byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies show a byte: as its own character if that is printable, else as the next one from U+0100 on."""
+    out: dict[int, str] = {}
+    for b in range(256):
+        printable = 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255
+        out[b] = chr(b) if printable else chr(256 + sum(ord(c) > 255 for c in out.values()))
+    return out
+
+
 @lru_cache(4)
 def pieces(path: str) -> list[bytes]:
-    """The bytes of each id. Byte-level vocabularies show a byte as a printable character: itself, or the next one from U+0100 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    to_byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    """The bytes of each id."""
+    to_byte = {c: b for b, c in byte_characters().items()}
     vocab = tokenizer(path).get_vocab(with_added_tokens=True)
     out = [b""] * (max(vocab.values()) + 1)
     for token, i in vocab.items():
@@ -158,7 +165,7 @@ def encode(docs: DataFrame, path: str, finish: Callable[[np.ndarray, bytes], tup
     """One row for each row of ``docs``: its id, then ``finish(ids as uint32, decoded text as UTF-8)``, which has the columns of ``schema``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = materialise(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_number(parts), _CHUNKS))
+    chunks = materialise_bucketed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_number(parts), _CHUNKS), "chunk", parts)
     tokens = chunks.where("part is not null").select("chunk", "part", "sizes", "codes", "words").groupBy("part").applyInPandas(_encode(path), "chunk long, sizes binary, codes binary, tokens binary")
     names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
 

@@ -44,6 +44,13 @@ def materialise(df: DataFrame, **options: str) -> DataFrame:
     return out
 
 
+def materialise_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Like :func:`materialise`, but as a table bucketed by ``key``, which later grouping by that key need not shuffle."""
+    name = f"strataflux_{uuid.uuid4().hex}"
+    df.write.options(compression="zstd", path=shared_dir(df.sparkSession)).bucketBy(buckets, key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def discard(*frames: DataFrame | None) -> None:
     """Delete the files of tables from :func:`materialise` that nothing will read again."""
     for df in frames:
