@@ -12,7 +12,6 @@ result are replaced. Equal shares go to the language first in order of its name.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,17 +23,21 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: Rows that a model is fitted on, at most; their ids are drawn by hash.
 MAX_TRAIN_ROWS = 20_000
-#: n-grams are counted in so many classes, which bounds the model whatever the corpus.
+#: n-grams are counted in 2**16 classes, which bounds the model whatever the corpus.
 CLASSES = 1 << 16
 #: Words whose likelihoods a task remembers.
-MEMORY = 400_000
+MEMORY = 200_000
 ROUNDS, PENALTY = 8, 2.0
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]{0,23}")
 
 
-def _grams(word: str) -> list[int]:
-    w = f"^{word}$"
-    return [zlib.crc32(w[i : i + 3].encode("utf-8", "surrogatepass")) % CLASSES for i in range(len(w) - 2)]
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each n-gram (three characters, word ends marked) of some words, and where each word's begin."""
+    a = np.frombuffer(f"^{'$^'.join(words)}$".encode("utf-32-le", "surrogatepass"), np.uint32)
+    h = a[:-2] * np.uint32(0x9E3779B1) ^ a[1:-1] * np.uint32(0x85EBCA77) ^ a[2:] * np.uint32(0xC2B2AE3D)
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    whole = (a[:-2] != ord("$")) & (a[1:-1] != ord("$"))
+    return (h[whole] >> np.uint32(16)).astype(np.int64), whole.cumsum()[np.flatnonzero(a[:-2] == ord("^"))] - 1
 
 
 @dataclass
@@ -55,8 +58,11 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
         for b in batches:
             for lang, text in zip(b["lang"], b["text"]):
                 c = total.setdefault(lang, np.zeros(CLASSES, np.int64))
-                for w, k in Counter(LETTERS.findall(text.lower())).items():
-                    c[_grams(w)] += k
+                words = Counter(LETTERS.findall(text.lower()))
+                if words:
+                    grams, starts = _grams(list(words))
+                    times = np.repeat(list(words.values()), np.diff(np.append(starts, len(grams))))
+                    c += np.bincount(grams, times, CLASSES).astype(np.int64)
         for lang, c in total.items():
             at = np.flatnonzero(c)
             yield pd.DataFrame({"lang": lang, "gram": at, "n": c[at]})
@@ -73,32 +79,45 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
 
 def _shares(like: np.ndarray, n: np.ndarray, starts: np.ndarray, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """EM for all texts of a batch. like: word x language; n: counts; starts: first word of each text; on: text x language. Shares and log likelihoods."""
-    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
-    pi = on / on.sum(1, keepdims=True)
+    sizes = np.diff(np.append(starts, len(n)))
+    of = np.repeat(np.arange(len(starts)), sizes)
+    pi = (on / on.sum(1, keepdims=True)).astype(np.float32)
     total = np.add.reduceat(n, starts)[:, None]
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if (on.sum(1) > 1).any() else 0):
         r = like * pi[of]
         r *= (n / np.maximum(r.sum(1), 1e-30))[:, None]
         pi = np.add.reduceat(r, starts, axis=0) / total
     return pi, np.add.reduceat(n * np.log(np.maximum((like * pi[of]).sum(1), 1e-30)), starts)
 
 
+def _of_texts(starts: np.ndarray, count: int, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of some texts, and where each starts among them."""
+    ends = np.append(starts, count)
+    sizes = ends[texts + 1] - ends[texts]
+    own = np.append(0, sizes.cumsum())[:-1]
+    return np.repeat(ends[texts] - own, sizes) + np.arange(sizes.sum()), own
+
+
 def infer(like: np.ndarray, n: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Shares of each language in each text, 0 for those outside its set."""
+    """Shares of each language in each text, 0 for those outside its set.
+
+    The set of one language is tried first, against that of all; where it loses, languages leave one by one.
+    """
     texts, langs = len(starts), like.shape[1]
-    on = np.ones((texts, langs))
+    on = np.ones((texts, langs), np.float32)
     pi, best = _shares(like, n, starts, on)
     cost = PENALTY * np.log(np.maximum(np.add.reduceat(n, starts), 2))
-    ends = np.append(starts, len(n))
-    live = np.arange(texts)
-    for _ in range(langs - 1):
-        live = live[on[live].sum(1) > 1]
+    one = np.zeros_like(on)
+    one[np.arange(texts), pi.argmax(1)] = 1
+    alone = _shares(like, n, starts, one)[1] >= best - (langs - 1) * cost
+    pi[alone] = one[alone]
+    live = np.flatnonzero(~alone)
+    for _ in range(langs - 2):
         if not len(live):
             break
         fewer = on[live].copy()
         fewer[np.arange(len(live)), np.where(fewer > 0, pi[live], np.inf).argmin(1)] = 0
-        rows = np.concatenate([np.arange(ends[k], ends[k + 1]) for k in live]) if len(live) < texts else slice(None)
-        own = np.append(0, np.cumsum(ends[live + 1] - ends[live]))[:-1]
+        rows, own = _of_texts(starts, len(n), live)
         p, ll = _shares(like[rows], n[rows], own, fewer)
         better = ll >= best[live] - cost[live]
         live = live[better]
@@ -122,20 +141,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             for lo in range(0, len(texts), 256):
                 if len(memory) > MEMORY:
                     memory.clear()
-                ids, counts, sizes = [], [], []
-                for text in texts.iloc[lo : lo + 256]:
-                    c = Counter(LETTERS.findall(text.lower())) if text and langs else {}
-                    for w in c:
-                        k = memory.get(w)
-                        if k is None:
-                            k = memory[w] = len(memory)
-                            if k >= len(table):
-                                table = np.concatenate([table, np.zeros_like(table)])
-                            s = logp[_grams(w)].sum(0)
-                            table[k] = np.exp(np.maximum(s - s.max(), -12))
-                        ids.append(k)
-                    counts.extend(c.values())
-                    sizes.append(len(c))
+                found = [Counter(LETTERS.findall(text.lower())) if text and langs else {} for text in texts.iloc[lo : lo + 256]]
+                new = list(set().union(*found) - memory.keys())
+                if new:
+                    first = len(memory)
+                    memory.update(zip(new, range(first, first + len(new))))
+                    while len(memory) > len(table):
+                        table = np.concatenate([table, np.zeros_like(table)])
+                    grams, starts = _grams(new)
+                    s = np.add.reduceat(logp[grams], starts, axis=0)
+                    table[first : len(memory)] = np.exp(np.maximum(s - s.max(1, keepdims=True), -12))
+                ids = [k for c in found for k in map(memory.__getitem__, c)]
+                counts = [k for c in found for k in c.values()]
+                sizes = [len(c) for c in found]
                 full = np.flatnonzero(sizes)
                 if len(full):
                     starts = np.append(0, np.cumsum(np.array(sizes)[full]))[:-1]
