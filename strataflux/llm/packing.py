@@ -1,9 +1,9 @@
 """Best-fit packing with certified repacking.
 
 Documents are dealt to partitions, each packed by best-fit decreasing. Dual-feasible
-functions bound from below the bins that the documents of a partition need. Where bins
-and bound differ, the documents of bins with room left are dealt out anew among these
-partitions and packed again, as long as that saves bins.
+functions bound from below the bins that the documents of a partition, and of all together, need. While
+bins and bound differ, the documents of bins with room left, in partitions with a gap, or with much room left, in any, are
+dealt out anew and packed again, as long as that saves bins.
 
 Null text counts as empty; each document ends with an end token, so none is empty. Repeated
 rows are packed each for itself. Null ids are kept. Other columns are left out.
@@ -13,45 +13,83 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.bpe import tokenizer
+from strataflux.llm.bpe import byte_characters, tokenizer
 from strataflux.llm.common import discard, materialise
 
 #: Tokens in a sequence; documents in a partition; rounds of exchange, at most.
 CAPACITY, PARTITION, ROUNDS = 4096, 50_000, 4
 #: Words whose ids a task remembers.
-MEMORY = 600_000
+MEMORY = 300_000
 _odd = re.compile("[\x1c-\x1f]").search
+#: The pre-tokenizer's pattern, a fixed value of the vocabulary file.
+_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class WordIds:
+    """Ids of words without white space, as bytes; what was encoded before is remembered within bounds.
+
+    Below U+0250 Python and the tokenizer's normaliser lower alike (but for U+0130) and nothing is composed, so such
+    a word is cut by the pre-tokenizer's pattern and each cut is encoded once; any other word goes to the tokenizer.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer, self.words, self.cuts = tokenizer(path), {}, {}
+        self.shown = {b: ord(c) for b, c in byte_characters().items()}
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _cut(self, cut: str) -> bytes:
+        found = self.cuts[cut] = array("I", [t.id for t in self.tokenizer.model.tokenize(cut.encode().decode("latin-1").translate(self.shown))]).tobytes()
+        return found
+
+    def add(self, words: set[str]) -> None:
+        if len(self.words) > MEMORY:
+            self.words.clear()
+        if len(self.cuts) > MEMORY:
+            self.cuts.clear()
+        cuts = self.cuts
+        for w in words.difference(self.words):
+            if max(w) < "\u0250" and "\u0130" not in w and "<|" not in w:
+                self.words[w] = b"".join([cuts.get(c) or self._cut(c) for c in _TOKENS.findall(w.lower())])
+            else:
+                self.words[w] = self.whole(w)
+
+
+@lru_cache(2)
+def word_ids(path: str) -> WordIds:
+    """One for each Python worker."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token pieces of every document, cut every ``capacity`` tokens.
 
     The tokenizer drops white space and no token crosses it, so words between white space have their ids for
-    themselves and a task remembers them. Python also splits at U+001C to U+001F; such texts are encoded whole.
+    themselves. Python also splits at U+001C to U+001F; such texts are encoded whole.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t, known = tokenizer(path), {}
+        known = word_ids(path)
         end = np.array([end_id], "<u4").tobytes()
-        as_bytes = lambda e: np.array(e.ids, "<u4").tobytes()
         for b in batches:
             for lo in range(0, len(b), 512):
                 part = b.iloc[lo : lo + 512]
                 words = [x.split() if x and not _odd(x) else [] for x in part["text"]]
-                if len(known) > MEMORY:
-                    known.clear()
-                new = list(set().union(*words) - known.keys())
-                known.update(zip(new, map(as_bytes, t.encode_batch(new, add_special_tokens=False))))
+                known.add(set().union(*words))
                 rows = []
                 for i, x, w in zip(part["id"].array, part["text"], words):
-                    ids = (as_bytes(t.encode(x, add_special_tokens=False)) if x and _odd(x) else b"".join(map(known.__getitem__, w))) + end
+                    ids = (known.whole(x) if x and _odd(x) else b"".join(map(known.words.__getitem__, w))) + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own)))
@@ -61,10 +99,12 @@ def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Bins that any packing needs: the best of two families of dual-feasible functions over all sizes."""
-    if not len(lengths):
-        return 0
-    n = np.bincount(lengths, minlength=capacity + 1)[: capacity + 1]
+    """Bins that any packing of these lengths needs."""
+    return bound(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def bound(n: np.ndarray, capacity: int = CAPACITY) -> int:
+    """Bins that any packing needs, from the count of each length: the best of two families of dual-feasible functions over all sizes."""
     size = np.arange(capacity + 1)
     best = -(-int((n * size).sum()) // capacity)
     # Sizes over capacity - a count as a whole bin, those under a as nothing.
@@ -107,7 +147,7 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 def pack(items: DataFrame, capacity: int = CAPACITY, partition: int = PARTITION, rounds: int = ROUNDS) -> DataFrame:
     """Add sequence_id and offset to a table with the columns of :data:`PIECES`."""
     items = materialise(items)
-    schema = f"{PIECES}, sequence_id long, offset long, bins long, gap long, full boolean"
+    schema = f"{PIECES}, sequence_id long, offset long, gap long, fill long"
 
     def deal(rows: DataFrame, turn: int, count: int) -> DataFrame:
         groups = max(1, -(-count // partition))
@@ -117,24 +157,31 @@ def pack(items: DataFrame, capacity: int = CAPACITY, partition: int = PARTITION,
             lengths = own["length"].to_numpy()
             of, at, bins = best_fit(lengths, capacity)
             fill = np.bincount(of, weights=lengths, minlength=bins)
-            return own.drop(columns="_part").assign(sequence_id=(turn << 56) + (int(key[0]) << 32) + of, offset=at, bins=bins, gap=bins - lower_bound(lengths, capacity), full=fill[of] == capacity)
+            return own.drop(columns="_part").assign(sequence_id=(turn << 56) + (int(key[0]) << 32) + of, offset=at, gap=bins - lower_bound(lengths, capacity), fill=fill[of].astype(np.int64))
 
         part = F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(groups)).cast("int")
         return materialise(rows.select(*(x.split()[0] for x in PIECES.split(", "))).withColumn("_part", part).groupBy("_part").applyInPandas(run, schema))
 
     done: list[DataFrame] = []
     last = deal(items, 0, items.count())
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in items.groupBy("length").count().collect():  # a row for each length
+        counts[length] = n
+    total, needed = last.select("sequence_id").distinct().count(), bound(counts, capacity)
     for turn in range(1, rounds + 1):
-        open_ = (F.col("gap") > 0) & ~F.col("full")
-        n, bins, parts = last.where(open_).agg(F.count("*"), F.count_distinct("sequence_id"), F.count_distinct(F.shiftright("sequence_id", 32))).head()
-        if parts < 2 and n <= partition:
+        # Each partition may be certified and the whole still not: what bins with much room hold is exchanged as well.
+        open_ = (F.col("fill") < capacity) & ((F.col("gap") > 0) | (F.col("fill") * 20 < capacity * 19))
+        n, bins = last.where(open_).agg(F.count("*"), F.count_distinct("sequence_id")).head()
+        if total <= needed or not n:
             break
         new = deal(last.where(open_), turn, n)
-        if new.agg(F.count_distinct("sequence_id")).head()[0] >= bins:
+        saved = bins - new.select("sequence_id").distinct().count()
+        if saved <= 0:
             discard(new)
             break
+        total -= saved
         done.append(last.where(~open_))
         last = new
     for d in done:
         last = last.unionByName(d)
-    return last.drop("bins", "gap", "full")
+    return last.drop("gap", "fill")
