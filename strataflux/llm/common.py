@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -31,14 +33,30 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/strataflux-{uuid.uuid4().hex}"
 
 
+#: Spark's setting to delete the shuffle files of a job once it is done.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block delete their shuffle files when they end; without it they stay until the driver collects garbage."""
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIDY, before)
+
+
 def materialise(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again, which cuts its lineage.
 
-    Files in the shared folder survive the loss of any executor.
+    Files in the shared folder survive the loss of any executor, so the shuffle files of the job that wrote them go at once.
     """
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.options(compression="zstd", **options).parquet(path)
+    with tidy(spark):
+        df.write.options(compression="zstd", **options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.strataflux_path = path
     return out
