@@ -95,9 +95,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     )
     least = int(COORDINATES * (p := percent / 100 + (1 - percent / 100) / 16) - 5.4 * (COORDINATES * p * (1 - p)) ** 0.5)
 
-    def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
+    def candidates(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
         sizes = F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent
-        found = a.alias("a").join(b.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & (F.col("a.label") != F.col("b.label")) & sizes & (_agree() >= least))
+        found = a.alias("a").join(b.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & (F.col("a.label") != F.col("b.label")) & sizes & (_agree() >= least) & (F.lit(True) if also is None else also))
         return found.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
 
     def sets_of(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,14 +133,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         return out
 
     def by_rarest(rows: DataFrame) -> DataFrame:
-        """All pairs of different components that can be links: such sets share one of the rarest shingles of each, as many as may differ and one more."""
+        """All pairs of different components that can be links: such sets share one of the rarest shingles of each, as many as may differ and one more.
+
+        The rarest shingle that two sets share leaves enough shingles after it in both of them, or they are no link.
+        """
         sets = full_sets(rows.select("cls"))
         each = sets.select("cls", F.explode("shingles").alias("s"))
         count = each.groupBy("s").agg(F.count("*").alias("df"))
         order = F.row_number().over(Window.partitionBy("cls").orderBy("df", "s"))
         first = each.join(count.hint("merge"), "s").withColumn("_r", order).where("df > 1").join(rows, "cls").where(F.col("_r") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)
-        first = materialise(first.drop("_r", "df").withColumnRenamed("s", "node"))
-        pairs = materialise(candidates(first, first))
+        first = materialise(first.select("*", (F.col("n_shingles") - F.col("_r")).alias("after")).drop("_r", "df").withColumnRenamed("s", "node"))
+        enough = (F.least("a.after", "b.after") + 1) * (100 + percent) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * percent
+        pairs = materialise(candidates(first, first, (F.col("a.cls") < F.col("b.cls")) & enough))
         discard(sets, first)
         return pairs
 
@@ -194,7 +198,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
             rest = materialise(rest.join(mixed(rest).hint("merge"), "node"))
             easy = easy.unionByName(rest.where(F.col("outside") <= SMALL), allowMissingColumns=True)
             left = rest.where(F.col("outside") > SMALL).select(*columns)
-        link(candidates(easy.where("label <> main"), easy))
+        # A pair that meets in several nodes is compared in one of them.
+        easy = materialise(easy.withColumn("nodes", F.collect_set("node").over(Window.partitionBy("cls"))))
+        once = F.array_min(F.array_intersect("a.nodes", "b.nodes")) == F.col("a.node")
+        link(candidates(easy.where("label <> main"), easy, once))
+        discard(easy)
         if level == DEPTH - 1 and not left.isEmpty():
             link(by_rarest(labelled(left.drop("node").distinct())))
         nodes = branch(left.join(classes.select("cls", "mh"), "cls"), level + 1).select(*columns)
