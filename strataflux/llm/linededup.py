@@ -1,10 +1,11 @@
 """Line deduplication by pairwise alignment.
 
-A line with words that occurs in several documents points from each later document to the first that
-has it; a document's rarest such lines (all lines that at most ``rare`` documents share, and in their absence the
-line that fewest share) choose its partners. So every document that shares a line has a partner, and there are never more pairs than
-lines. Patience diff aligns the lines of each pair, and aligned blocks of enough words are deleted from
-the later document. Lines are judged on the input.
+A block is a run of adjacent lines with enough words. The shortest blocks from and up to each line are keyed by hash,
+and a key leads from each later document to the first that has it, however many have it. Every line of a block that
+two documents share lies in a keyed block that they share, so each such line has a partner; there are never more pairs than
+keys, of which there are at most two a line. Patience diff aligns the lines of each pair, and aligned blocks are deleted from
+the later document. Keyed blocks that no one alignment holds, as their order differs or they repeat, go as well. So a line with words goes
+if and only if it lies in a block that an earlier document has. Lines are judged on the input.
 
 Null text has no lines; a null id is never searched nor changed. Repeated rows of an id are changed alike and
 are not earlier than each other. Blank lines count as part of a block that surrounds them. Only hashes of lines
@@ -21,10 +22,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, discard, materialise
+from strataflux.llm.common import BROADCAST_IDS, discard, materialise, mix
 
-#: Documents that may share a line which counts as rare; words in a block that is deleted.
-RARE, BLOCK_WORDS = 50, 10
+#: Words in a block that is deleted.
+BLOCK_WORDS = 10
+#: Keys of blocks are polynomials of their lines' hashes in this number, modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
 _BLANK = np.int64(0)
 
 
@@ -96,39 +99,60 @@ def blocks(pairs: list[tuple[int, int]], words: np.ndarray, least: int) -> list[
     return out
 
 
+def keyed_blocks(lines: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the shortest blocks from each line with words and up to each, and where they begin and end (exclusive)."""
+    upto = np.append(0, words.cumsum(dtype=np.int64))
+    at = np.flatnonzero(words)
+    till = np.searchsorted(upto, upto[at] + least)
+    since = np.searchsorted(upto, upto[at + 1] - least, "right") - 1
+    begin, end = np.append(at[till < len(upto)], since[since >= 0]), np.append(till[till < len(upto)], at[since >= 0] + 1)
+    power = np.cumprod(np.append(np.uint64(1), np.full(len(lines), _BASE, np.uint64)))
+    inverse = np.cumprod(np.append(np.uint64(1), np.full(len(lines), pow(_BASE, -1, 1 << 64), np.uint64)))
+    total = np.append(np.uint64(0), np.cumsum(lines.view(np.uint64) * power[:-1], dtype=np.uint64))
+    return mix((total[end] - total[begin]) * inverse[begin]).view(np.int64), begin, end
+
+
 def text_key(lines: np.ndarray) -> int:
     """Tells rows of one id apart by their lines."""
     return int(pd.util.hash_array(lines.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) if len(lines) else 0
 
 
-def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        found = [line_hashes(x) for x in b["text"]]
-        yield pd.DataFrame({"doc_id": b["doc_id"].array, "key": [text_key(h) for h, _ in found], "lines": [h for h, _ in found], "words": [n for _, n in found]})
-
-
-def repeated_lines(docs: DataFrame, rare: int = RARE, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, gone): the indexes, from 0, of the lines to delete from each document that loses any."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
-    lines = materialise(docs.mapInPandas(_lines, "doc_id long, key long, lines array<long>, words array<int>"))
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [line_hashes(x) for x in b["text"]]
+            keys = [np.unique(keyed_blocks(h, n, block_words)[0]) for h, n in found]
+            yield pd.DataFrame({"doc_id": b["doc_id"].array, "key": [text_key(h) for h, _ in found], "lines": [h for h, _ in found], "words": [n for _, n in found], "blocks": keys})
+
+    kept = materialise(docs.mapInPandas(split, "doc_id long, key long, lines array<long>, words array<int>, blocks array<long>"))
+    lines = kept.drop("blocks")
     # Rows of one id: the first in order of their lines stands for the id as a partner.
-    each = lines.select("doc_id", F.explode(F.array_distinct(F.col("lines"))).alias("line")).where(F.col("line") != 0)
-    known = materialise(each.groupBy("line").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("first < most").select("line", "first", "n"))
-    meets = each.join(known.hint("merge"), "line").where("doc_id > first")
-    rarest = meets.groupBy("doc_id").agg(F.min("n").alias("fewest"))
-    pairs = materialise(meets.join(rarest.hint("merge"), "doc_id").where((F.col("n") <= rare) | (F.col("n") == F.col("fewest"))).select("doc_id", "first").distinct())
+    each = kept.select("doc_id", F.explode("blocks").alias("block"))
+    known = materialise(each.groupBy("block").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most")).where("first < most").select("block", "first"))
+    meets = each.join(known.hint("merge"), "block").where("doc_id > first")
+    pairs = materialise(meets.groupBy("doc_id", "first").agg(F.collect_set("block").alias("shared")))
     one = lines.groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("own"))
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            gone = [blocks(patience(a.tolist(), own.tolist()), n, block_words) for a, own, n in zip(b["before"], b["lines"], b["words"])]
+            gone = []
+            for a, own, n, shared in zip(b["before"], b["lines"], b["words"], b["shared"]):
+                out = np.zeros(len(own), bool)
+                out[blocks(patience(a.tolist(), own.tolist()), n, block_words)] = True
+                keys, begin, end = keyed_blocks(own, n, block_words)
+                for k in np.flatnonzero(np.isin(keys, shared)).tolist():
+                    out[begin[k] : end[k]] = True
+                gone.append(np.flatnonzero(out))
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "gone": gone})
 
     later = pairs.join(lines.hint("merge"), "doc_id")
-    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before")).hint("merge"), "first").select("doc_id", "key", "before", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
+    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before")).hint("merge"), "first").select("doc_id", "key", "shared", "before", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
     found = aligned.select("doc_id", "key", F.explode("gone").alias("line")).distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("line")).alias("gone"))
     out = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "gone")).alias("found")))
-    discard(lines, known, pairs)
+    discard(kept, known, pairs)
     return out
 
 

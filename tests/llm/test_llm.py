@@ -234,6 +234,34 @@ def test_lines(spark):
     assert got == {1: (a, 0), 2: ("new line of its own", 1), 3: ("", 3), 4: ("short", 0), 5: (None, 0), 6: ("", 0)}
 
 
+def test_lines_equal_brute_force(spark):
+    """Blocks in more than 50 documents, blocks whose lines first stand in different documents, and blocks in another order."""
+    r = random.Random(5)
+    words = lambda n: " ".join(r.choices([f"v{k}" for k in range(5000)], k=n))
+    common, five, twelve = words(15), [words(5) for _ in range(6)], [words(12) for _ in range(6)]
+    rows = [(1, f"{five[0]}\n{words(9)}"), (2, f"{words(9)}\n{five[1]}"), (3, f"{five[0]}\n{five[1]}"), (4, f"{words(20)}\n{five[0]}\n{five[1]}")]
+    for k in range(5, 90):
+        x = [common] * (k % 4 > 0) + [y for _ in range(r.randint(0, 4)) for y in r.choice([five[:2], five[2:5], [r.choice(five)], [r.choice(twelve)], ["", r.choice(twelve)], [twelve[0], "tail"], [words(r.randint(1, 9))]])]
+        if k % 7 == 0:
+            r.shuffle(x)
+        rows.append((k, "\n".join(x)))
+    # A document with one line of one other document, besides the block of many.
+    rows += [(90, f"{common}\n{five[0]}"), (91, f"{words(3)} only here\n{common}"), (30, "\n".join([twelve[5], words(11)])), (92, f"{twelve[3]}\nonce\n{twelve[2]}"), (93, f"{twelve[2]}\nonce more\n{twelve[3]}")]
+    rows.append((94, rows[-2][1].split("\n")[0] + f"\n{common}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    runs = [{tuple(x[a:b]) for a in range(len(x)) for b in range(a + 1, len(x) + 1)} for x in (t.split("\n") for _, t in rows)]
+    want = []
+    for i, t in rows:
+        x, gone = t.split("\n"), set()
+        for a in range(len(x)):
+            for b in range(a + 1, len(x) + 1):
+                if sum(len(y.split()) for y in x[a:b]) >= 10 and any(j < i and tuple(x[a:b]) in own for (j, _), own in zip(rows, runs)):
+                    gone.update(range(a, b))
+        want.append((i, [y for k, y in enumerate(x) if y and k not in gone]))
+    got = [(d["doc_id"], [y for y in d["text"].split("\n") if y]) for d in linededup.apply(df, linededup.repeated_lines(df)).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_patience_is_an_alignment():
     r = random.Random(1)
     for _ in range(500):
