@@ -5,7 +5,7 @@ often on the same pages of a host have equal occurrence vectors and form an equi
 once, so copies of an article make no template. A class is large if most pages of the host have it, and valid on a page if
 its tokens come in the class's order; classes hold each other's tokens in between and so nest by their order. Text of valid
 large classes is template; what stands in the remaining slots is kept where it belongs to the article: inside ``article`` or
-``main``, else in the container that holds most of the remaining text. Elements that no article consists of (menus, forms,
+``main``, else anywhere. Elements that no article consists of (menus, forms,
 asides, ...) are left out by name, role, class or id on every page, so that hosts with few pages need no template.
 
 Null html counts as empty and gives empty text. A null url makes a host of its own. Null ids and repeated rows give a row each.
@@ -139,13 +139,7 @@ def main_text(page: Page, template: list[tuple[int, int, float]]) -> str:
     left = [b for b, t in zip(page.blocks, texts) if not b[3] and t not in fixed]
     if any(b[2] for b in page.blocks if not b[3]):
         return " ".join(b[0] for b in left if b[2])
-    size: Counter[str] = Counter()
-    for text, path, _, _ in left:
-        size[path.rsplit("/", 1)[0]] += len(text)
-    if not size:
-        return ""
-    most = max(size, key=lambda p: (size[p], p))
-    return " ".join(b[0] for b in left if b[1].startswith(most))
+    return " ".join(b[0] for b in left)
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

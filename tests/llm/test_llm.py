@@ -106,6 +106,16 @@ def test_html():
     assert html.main_text(html.Page(""), []) == ""
 
 
+def test_html_keeps_all_slots():
+    """Pages without an article element: mostly lists, mostly a table, a longer nested section."""
+    for inner, want in [
+        ("<p>One</p><ul><li>A long item of the list</li><li>And another long item</li></ul><p>Two</p>", "One A long item of the list And another long item Two"),
+        ("<p>One</p><table><tr><td>A long cell of the table<td>and another</table><p>Two</p>", "One A long cell of the table and another Two"),
+        ("<p>One</p><section><p>A much longer paragraph of the section</p></section>", "One A much longer paragraph of the section"),
+    ]:
+        assert html.main_text(html.Page(f"<body><div id=menu>m</div><div>{inner}</div><footer>f</footer>"), []) == want
+
+
 def test_html_template(spark):
     pages = [(k, "http://h.example/x", f"<body><div><p>Fixed line</p><p>Text {k} of its own</p><p>Bottom line</p></div></body>") for k in range(8)] + [(9, None, None)]
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
