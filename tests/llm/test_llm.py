@@ -122,6 +122,27 @@ def test_html_template(spark):
     assert got == {k: f"Text {k} of its own" for k in range(8)} | {9: ""}
 
 
+def test_html_copies_and_nesting(spark):
+    """Edited copies of one article keep their text, with and without an article element; fixed text outside the article's slot goes."""
+    paragraphs = [f"Paragraph {k} of the one article" for k in range(12)]
+    edited = [[f"Edited {p} in page {k}" if p == k else x for p, x in enumerate(paragraphs)] for k in range(10)]
+    body = lambda x: "".join(f"<p>{y}</p>" for y in x)
+    rows, want = [], {}
+    for k, x in enumerate(edited):
+        rows += [(k, "http://a.example/", f"<body><article>{body(x)}</article></body>"), (100 + k, "http://b.example/", f"<body><div>{body(x)}</div></body>")]
+        want |= {k: " ".join(x), 100 + k: " ".join(x)}
+    for k in range(16):
+        # Ten copies among other articles; a side note on most pages lies outside the article's slot.
+        x = edited[k] if k < 10 else [f"Other {k} {p} words" for p in range(12)]
+        side = "<p>Side note</p>" if k % 5 else ""
+        rows.append((200 + k, "http://c.example/", f"<body><p>Top</p>{side}<h1>Head</h1><div>{body(x)}</div><p>Bottom</p></body>"))
+        want[200 + k] = " ".join(x)
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+    # Class 3 lies in two slots of class 2, which is on more pages.
+    assert html.fixed_text([1, 5, 6, 5, 6, 7, 9], [1, 2, 3, 4, 5, 6], [1] * 5 + [9], [(1, 1, 0.0, True), (7, 1, 0.5, True), (5, 2, 0.1, False), (6, 3, 0.2, False)]) == {1, 7, 5}
+
+
 def components(sets: list, percent: int) -> list[int]:
     par = list(range(len(sets)))
 
