@@ -4,7 +4,8 @@ Texts and templates become lower-case runs of letters and digits. Of the hashes
 consecutive tokens, the least of each ``WINNOW`` is a fingerprint. The inverted index of the templates' fingerprints is
 fixed in size, as it grows with the templates alone, and is sent to every task. A shared fingerprint
 fixes a diagonal; fingerprints of one template on near diagonals make a candidate, which is aligned with the template inside a band
-around it. A match reports how much of the template was found and from where to where in the text.
+around it, and again with what its matches leave free there, so that places next to each other each count. A match reports how
+much of the template was found and from where to where in the text. Templates are notices and excerpts, not whole licenses.
 
 Null and empty texts have no matches. Rows with a null id and repeated rows are scanned each for itself.
 """
@@ -59,33 +60,58 @@ def fingerprints(grams: np.ndarray) -> np.ndarray:
     return np.unique(np.arange(len(view)) + WINNOW - 1 - view.argmin(1))
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """Tokens of the template found in order near a diagonal (text position minus template position), and the first and last of them in the text.
+def align(template: np.ndarray, text: np.ndarray, diagonal: int, since: int, until: int, band: int = BAND) -> tuple[int, int, int]:
+    """Tokens of the template found in order near a diagonal (text position minus template position) in text[since:until], and the first and last of them in the text.
 
     Longest common subsequence inside the band; of equal ones the tightest from its end.
     """
     width = 2 * band + 1
     best = np.zeros((len(template) + 1, width + 1), np.int32)  # cell (i, b): text position diagonal - band + i + b - 1
+    equal = np.zeros((len(template) + 1, width + 1), bool)
     for i in range(1, len(template) + 1):
         at = diagonal - band + i - 1 + np.arange(width)
-        ok = (at >= 0) & (at < len(text))
+        ok = (at >= since) & (at < until)
         same = np.zeros(width, bool)
         same[ok] = text[at[ok]] == template[i - 1]
+        equal[i, :width] = same
         row = np.maximum(best[i - 1, :width] + same, best[i - 1, 1:])
         best[i, :width] = np.maximum.accumulate(row)
     i, b = len(template), width - 1
+    while b > 0 and best[i, b - 1] == best[i, b]:
+        b -= 1
     ends: list[int] = []
     while i > 0 and best[i, b] > 0:
-        if b > 0 and best[i, b - 1] == best[i, b]:
-            b -= 1
-        elif b + 1 <= width and best[i - 1, b + 1] == best[i, b] and b + 1 < width:
-            i, b = i - 1, b + 1
-        else:
+        if equal[i, b]:
             ends.append(diagonal - band + i - 1 + b)
             i -= 1
+        elif b + 1 < width and best[i - 1, b + 1] == best[i, b]:
+            i, b = i - 1, b + 1
+        else:
+            b -= 1
     return (len(ends), ends[-1], ends[0]) if ends else (0, -1, -1)
 
 
+def places(template: np.ndarray, text: np.ndarray, diagonals: list[int], least: float) -> list[tuple[int, int, int]]:
+    """Matches of a template, as :func:`align` gives them, that hold ``least`` of it and share no text."""
+    out: list[tuple[int, int, int]] = []
+    free = [(0, len(text))]
+    for d in diagonals:
+        todo, free = free, []
+        while todo:
+            since, until = todo.pop()
+            # Only text in the band around the diagonal can match.
+            if min(until, d + BAND + len(template)) - max(since, d - BAND) < least * len(template):
+                free.append((since, until))
+                continue
+            n, first, end = align(template, text, d, since, until)
+            if n < least * len(template):
+                free.append((since, until))
+                continue
+            out.append((n, first, end))
+            todo += [(since, first), (end + 1, until)]
+    return sorted(out, key=lambda x: x[1])
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, template, coverage, start, end, text): each place of a text that holds ``least`` of a template; start and end count code points."""
     names = sorted(templates)
@@ -124,14 +150,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
                             hits[t].add(p - q)
                     spans = tokens(text)[1]
                     for t, diagonals in hits.items():
-                        last = None
-                        for d in sorted(diagonals):
-                            if last is not None and d - last <= BAND:
-                                continue
-                            n, first, end = align(bodies[t], body, d)
-                            if n >= least * len(bodies[t]):
-                                rows.append((i, names[t], n / len(bodies[t]), spans[first][0], spans[end][1], text[spans[first][0] : spans[end][1]]))
-                                last = d
+                        for n, first, end in places(bodies[t], body, sorted(diagonals), least):
+                            rows.append((i, names[t], n / len(bodies[t]), spans[first][0], spans[end][1], text[spans[first][0] : spans[end][1]]))
                 yield pd.DataFrame(rows, columns=["doc_id", "template", "coverage", "start", "end", "text"]).astype({"doc_id": "Int64"})
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, template string, coverage double, start long, end long, text string")

@@ -257,6 +257,16 @@ def test_licenses(spark):
     assert got[1, "GPL-3.0-notice"]["text"] == notice.rstrip(".") and got[1, "GPL-3.0-notice"]["coverage"] == 1.0 and got[4, "GPL-3.0-notice"]["coverage"] < 1
 
 
+def test_licenses_next_to_each_other(spark):
+    mit, cc = licenses.TEMPLATES["MIT-notice"], licenses.TEMPLATES["CC-BY-NC-4.0-notice"]
+    damaged = mit.replace("MIT", "MYT")
+    texts = [f"{mit}\n{mit}", f"{cc} {cc}", f"x\n{mit}\n{mit}\ny {mit}", f"{damaged}\n{mit}", f"{mit}\n{damaged}", f"released so {mit} released"]
+    want = [(k, x.rstrip(".")) for k, found in enumerate([[mit] * 2, [cc] * 2, [mit] * 3, [damaged, mit], [mit, damaged], [mit]]) for x in found]
+    out = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id", "start").collect()
+    assert [(r["doc_id"], r["text"]) for r in out] == want
+    assert all(texts[r["doc_id"]][r["start"] : r["end"]] == r["text"] for r in out) and len({(r["doc_id"], r["start"]) for r in out}) == len(want)
+
+
 def test_lines(spark):
     a = "one two three four five six seven eight nine ten eleven\nshort\nalpha beta gamma delta epsilon zeta eta theta iota kappa lamda"
     rows = [(1, a), (2, "new line of its own\n" + a.split("\n")[2]), (3, a), (4, "short"), (5, None), (6, "")]
