@@ -79,6 +79,32 @@ def test_language(spark, table):
     assert got[101]["lang_pred"] == got[102]["lang_pred"] == "und" and got[102]["score"] == 0
 
 
+def test_language_sets_equal_plain_elimination():
+    """Few words of a second language, worth more than its cost but less than the costs of all other languages; and random texts."""
+    few = np.full((195, 4), 1e-3, np.float32)
+    few[:190, 0], few[190:, 1], few[190:, 0] = 1, 1, np.exp(-8)
+    r = np.random.default_rng(2)
+    texts = [few] + [np.exp(-r.uniform(0, 9, (r.integers(3, 200), 4)) * (np.arange(4) != r.choice(4, p=[0.9, 0.06, 0.03, 0.01]))).astype(np.float32) for _ in range(20)]
+    for k in range(30):  # mixtures with a share of foreign words
+        x = np.exp(-r.uniform(2, 9, (120, 4))).astype(np.float32)
+        x[np.arange(120), np.where(np.arange(120) < k, 1 + k % 3, 0)] = 1
+        texts.append(x)
+    starts = np.append(0, np.cumsum([len(x) for x in texts]))[:-1]
+    got = langid.infer(np.concatenate(texts), np.ones(sum(map(len, texts)), np.float32), starts)
+    for x, p in zip(texts, got):
+        n, at, on = np.ones(len(x), np.float32), np.array([0]), np.ones((1, 4), np.float32)
+        want, best = langid._shares(x, n, at, on)
+        while on.sum() > 1:
+            fewer = on.copy()
+            fewer[0, np.where(on[0] > 0, want[0], np.inf).argmin()] = 0
+            pi, ll = langid._shares(x, n, at, fewer)
+            if ll[0] < best[0] - langid.PENALTY * np.log(len(x)):
+                break
+            on, want, best = fewer, pi, ll
+        assert (p > 0).tolist() == (want[0] > 0).tolist() and np.allclose(p, want[0], atol=1e-3)
+    assert got[0, 1] > 0
+
+
 def test_quality(spark, table):
     got = sorted(queries.op2_quality_cascade(spark, table).select("doc_id", "n_words", "n_repeat_words", "n_dup_lines", "word_chars").collect())
     want = []
