@@ -28,7 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import materialise_bucketed
+from strataflux.llm.common import bounded_batches, materialise_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -165,7 +165,7 @@ def encode(docs: DataFrame, path: str, finish: Callable[[np.ndarray, bytes], tup
     """One row for each row of ``docs``: its id, then ``finish(ids as uint32, decoded text as UTF-8)``, which has the columns of ``schema``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = materialise_bucketed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_number(parts), _CHUNKS), "chunk", parts)
+    chunks = materialise_bucketed(bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_number(parts), _CHUNKS), "chunk", parts)
     tokens = chunks.where("part is not null").select("chunk", "part", "sizes", "codes", "words").groupBy("part").applyInPandas(_encode(path), "chunk long, sizes binary, codes binary, tokens binary")
     names = ["doc_id", *(x.split()[0] for x in schema.split(", "))]
 

@@ -18,6 +18,18 @@ SPACES = " \t\n\x0b\x0c\r"
 BROADCAST_IDS = 500_000
 
 
+#: Spark's limit of an Arrow batch and its default, and the one that the operators set in its place: whole texts cross to Python in such batches.
+BATCH_LIMIT, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The same table; from now on its session sends rows to Python in smaller batches, unless it has a limit of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_LIMIT) == BATCH_DEFAULT:
+        conf.set(BATCH_LIMIT, BATCH_BYTES)
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder of the session.
 

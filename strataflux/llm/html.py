@@ -27,7 +27,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, materialise
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, materialise
 
 #: Pages that a host needs for a template, and the share of them that a large class is on.
 LEAST_PAGES, LARGE = 4, 0.6
@@ -223,7 +223,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of each page."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
+    rows = bounded_batches(pages).select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     found = templates(rows.select("host", "html"))
 
     @F.pandas_udf("string")

@@ -21,6 +21,8 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from strataflux.llm.common import bounded_batches
+
 #: Rows that a model is fitted on, at most; their ids are drawn by hash.
 MAX_TRAIN_ROWS = 20_000
 #: n-grams are counted in 2**16 classes, which bounds the model whatever the corpus.
@@ -48,7 +50,7 @@ class Model:
 
 def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS) -> Model:
     """Count the n-grams of labelled rows for which ``train`` holds; beyond ``max_rows`` of them, of a share drawn by hash."""
-    rows = docs.where(train & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = bounded_batches(docs).where(train & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     n = rows.count()
     if n > max_rows:
         rows = rows.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * max_rows / n))
@@ -165,4 +167,4 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                         shares[at] = {langs[j]: float(p[j]) for j in np.flatnonzero(p)}
             yield pd.DataFrame({"lang_pred": pred, "score": score, "lang_shares": shares})
 
-    return docs.withColumn("_lang", udf(F.col(text_col))).withColumns({k: F.col(f"_lang.{k}") for k in ("lang_pred", "score", "lang_shares")}).drop("_lang")
+    return bounded_batches(docs).withColumn("_lang", udf(F.col(text_col))).withColumns({k: F.col(f"_lang.{k}") for k in ("lang_pred", "score", "lang_shares")}).drop("_lang")

@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import windows_of, word_hashes
+from strataflux.llm.common import bounded_batches, windows_of, word_hashes
 
 GRAM, WINNOW, BAND = 3, 3, 12
 #: Share of a template's tokens that must be found.
@@ -154,5 +154,5 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
                             rows.append((i, names[t], n / len(bodies[t]), spans[first][0], spans[end][1], text[spans[first][0] : spans[end][1]]))
                 yield pd.DataFrame(rows, columns=["doc_id", "template", "coverage", "start", "end", "text"]).astype({"doc_id": "Int64"})
 
-    out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, template string, coverage double, start long, end long, text string")
+    out = bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "doc_id long, template string, coverage double, start long, end long, text string")
     return out
