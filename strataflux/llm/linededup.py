@@ -8,13 +8,14 @@ the later document. Keyed blocks that no one alignment holds, as their order dif
 if and only if it lies in a block that an earlier document has. Lines are judged on the input.
 
 Null text has no lines; a null id is never searched nor changed. Repeated rows of an id are changed alike and
-are not earlier than each other. Blank lines count as part of a block that surrounds them. Only hashes of lines
+are not earlier than each other. Columns of the caller stay, but for ``n_lines``, ``n_removed_lines``, ``_cut`` and ``_found``, which are replaced. Blank lines count as part of a block that surrounds them. Only hashes of lines
 are shuffled until the texts that lose lines are rewritten. Tables that grow with the corpus meet by sort-merge joins at
 every size.
 """
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, discard, materialise, mix
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, mix
 
 #: Words in a block that is deleted.
 BLOCK_WORDS = 10
@@ -113,13 +114,13 @@ def keyed_blocks(lines: np.ndarray, words: np.ndarray, least: int) -> tuple[np.n
 
 
 def text_key(lines: np.ndarray) -> int:
-    """Tells rows of one id apart by their lines."""
-    return int(pd.util.hash_array(lines.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)) if len(lines) else 0
+    """Tells rows of one id apart by their lines and the order of these."""
+    return int.from_bytes(hashlib.blake2b(lines.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, gone): the indexes, from 0, of the lines to delete from each document that loses any."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text is not null")
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -139,17 +140,24 @@ def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             gone = []
-            for a, own, n, shared in zip(b["before"], b["lines"], b["words"], b["shared"]):
+            for a, m, own, n, shared in zip(b["before"], b["before_words"], b["lines"], b["words"], b["shared"]):
                 out = np.zeros(len(own), bool)
                 out[blocks(patience(a.tolist(), own.tolist()), n, block_words)] = True
                 keys, begin, end = keyed_blocks(own, n, block_words)
-                for k in np.flatnonzero(np.isin(keys, shared)).tolist():
-                    out[begin[k] : end[k]] = True
+                at = np.flatnonzero(np.isin(keys, shared))
+                if len(at) and not out[np.concatenate([np.arange(begin[k], end[k]) for k in at])].all():
+                    # Not in the alignment, but in the partner: its lines tell.
+                    theirs = {}
+                    for key, lo, hi in zip(*(x.tolist() for x in keyed_blocks(a, m, block_words))):
+                        theirs.setdefault(key, []).append(a[lo:hi])
+                    for k in at.tolist():
+                        if any(np.array_equal(own[begin[k] : end[k]], x) for x in theirs.get(int(keys[k]), [])):
+                            out[begin[k] : end[k]] = True
                 gone.append(np.flatnonzero(out))
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "gone": gone})
 
     later = pairs.join(lines.hint("merge"), "doc_id")
-    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before")).hint("merge"), "first").select("doc_id", "key", "shared", "before", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
+    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before"), F.col("own.words").alias("before_words")).hint("merge"), "first").select("doc_id", "key", "shared", "before", "before_words", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
     found = aligned.select("doc_id", "key", F.explode("gone").alias("line")).distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("line")).alias("gone"))
     out = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "gone")).alias("found")))
     discard(kept, known, pairs)
@@ -158,7 +166,7 @@ def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str
 
 def apply(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text without its deleted lines, and n_lines and n_removed_lines (long)."""
-    text = F.col(text_col)
+    docs, text = docs.drop("_found", "_cut"), F.col(text_col)
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long")
     ids = found.select(F.col("doc_id").alias(id_col))
     few = ids.count() <= BROADCAST_IDS
@@ -177,7 +185,7 @@ def apply(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: s
             out.append(("\n".join(y for k, y in enumerate(x.split("\n")) if k not in gone) if gone else x, len(gone)))
         return pd.DataFrame(out, columns=["text", "n_removed_lines"])
 
-    hit = docs.join(wanted, id_col, "left_semi").join(found.withColumnRenamed("doc_id", id_col).hint("merge"), id_col).withColumn("n_lines", n_lines).withColumn("_cut", cut(text, "found"))
-    hit = hit.withColumns({text_col: F.col("_cut.text"), "n_removed_lines": F.col("_cut.n_removed_lines")}).drop("_cut", "found")
+    hit = docs.join(wanted, id_col, "left_semi").join(found.select(F.col("doc_id").alias(id_col), F.col("found").alias("_found")).hint("merge"), id_col).withColumn("n_lines", n_lines).withColumn("_cut", cut(text, "_found"))
+    hit = hit.withColumns({text_col: F.col("_cut.text"), "n_removed_lines": F.col("_cut.n_removed_lines")}).drop("_cut", "_found")
     rest = docs.join(wanted, id_col, "left_anti").withColumns({"n_lines": n_lines, "n_removed_lines": F.lit(0).cast("long")})
     return rest.unionByName(hit)
