@@ -11,8 +11,8 @@ landmark. A window of words that holds the span of a landmark has this landmark
 window that holds none is its own landmark. So a window that occurs in two texts has all its landmarks
 in both, and no repeat is missed. The name of a whole text tells copies.
 
-Landmarks shared by different texts reveal candidate windows; equality of the windows' own 64-bit
-names verifies them.
+Landmarks shared by different texts reveal candidate windows; two independent 64-bit names of each
+window verify them, and two of a whole text its copies. Neither is a polynomial, which ordered words could make collide.
 
 Null text has no words. Rows with a null id are neither searched nor changed. Rows with the same id do
 not count as earlier for each other. An empty table gives an empty result. Only ids and texts are read.
@@ -20,6 +20,7 @@ not count as earlier for each other. An empty table gives an empty result. Only
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -27,31 +28,33 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, discard, materialise, mix, text_words, word_hashes
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, mix, text_words, word_hashes
 
 #: Words in a window, rounds, and words that a task holds at once.
 WINDOW, ROUNDS, BATCH_WORDS = 50, 4, 150_000
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Seed of the second name of windows and texts.
+CHECK = 1
 
 
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-def window_names(h: np.ndarray, size: int) -> np.ndarray:
-    """A name for every ``size`` consecutive entries of ``h``."""
+def window_names(h: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """A name for every ``size`` consecutive entries of ``h``, by names of 1, 2, 4, ... entries. Different seeds give independent names."""
     if len(h) < size:
         return np.empty(0, np.uint64)
-    s = np.append(np.uint64(0), np.add.accumulate(h * _power(_P, len(h))))
-    return mix((s[size:] - s[:-size]) * _power(_P_INVERSE, len(h) - size + 1))
+    n = len(h) - size + 1
+    part, at, out = mix(h ^ np.uint64(seed)), 0, np.full(n, seed, np.uint64)
+    for k in range(size.bit_length()):
+        if size >> k & 1:
+            out = mix(out * _P + part[at : at + n])
+            at += 1 << k
+        if size >> (k + 1):
+            part = mix(part[: -(1 << k)] * _P + part[1 << k :])
+    return out
 
 
-def text_name(h: np.ndarray) -> int:
+def text_name(h: np.ndarray, seed: int = 0) -> int:
     """The name of a whole text."""
-    return int(mix(window_names(h, len(h)) + np.uint64(len(h))).view(np.int64)[0]) if len(h) else 0
+    return int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8, salt=bytes([seed])).digest(), "little", signed=True) if len(h) else 0
 
 
 def _round(name: np.ndarray, lo: np.ndarray, hi: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,13 +130,14 @@ def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, lis
 
 
 def _marks(size: int) -> Callable:
-    """(name, root, doc_id): the landmarks of each text once; and with a null name each text."""
+    """(name, root, doc_id): the landmarks of each text once; and each text, with its second name, and its id."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b, words in _batches(frames):
             roots = np.array([text_name(w) for w in words], np.int64)
             long = np.array([len(w) >= size for w in words])
-            yield pd.DataFrame({"name": None, "root": roots[long], "doc_id": b["doc_id"].to_numpy()[long]}).astype({"name": "Int64"})
+            checks = np.array([text_name(w, CHECK) for w, n in zip(words, long) if n], np.int64)
+            yield pd.DataFrame({"name": checks, "root": roots[long], "doc_id": b["doc_id"].to_numpy()[long]})
             own = {r: w for r, w, n in zip(roots, words, long) if n}
             if not own:
                 continue
@@ -148,7 +152,7 @@ def _marks(size: int) -> Callable:
 
 
 def _windows(size: int) -> Callable:
-    """(window, root, start) for the windows all of whose landmarks are among ``names``."""
+    """(window, check, root, start) for the windows all of whose landmarks are among ``names``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b, words in _batches(frames):
@@ -171,7 +175,7 @@ def _windows(size: int) -> Callable:
             text = np.searchsorted(starts, at, "right") - 1
             ok = ~bare | has(window[at] ^ salt[text])
             at, text = at[ok], text[ok]
-            yield pd.DataFrame({"window": window[at].view(np.int64), "root": np.array([r for r, _, _ in rows], np.int64)[text], "start": (at - starts[text]).astype(np.int32)})
+            yield pd.DataFrame({"window": window[at].view(np.int64), "check": window_names(h, size, CHECK)[at].view(np.int64), "root": np.array([r for r, _, _ in rows], np.int64)[text], "start": (at - starts[text]).astype(np.int32)})
 
     return run
 
@@ -186,18 +190,19 @@ def repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_co
 
     A window of ``size`` words goes if it also starts in a text with a smaller id.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marks = materialise(docs.where("doc_id is not null").mapInPandas(_marks(size), "name long, root long, doc_id long"))
-    texts = marks.where("name is null")
+    texts = marks.where("doc_id is not null").withColumnRenamed("name", "check")
     roots = materialise(texts.groupBy("root").agg(F.min("doc_id").alias("first")))
-    shared = marks.where("name is not null").groupBy("name").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("name")
-    named = materialise(marks.select("name", "root").join(shared, "name").groupBy("root").agg(F.collect_set("name").alias("names")).join(roots, "root"))
+    shared = marks.where("doc_id is null").groupBy("name").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("name")
+    named = materialise(marks.where("doc_id is null").select("name", "root").join(shared, "name").groupBy("root").agg(F.collect_set("name").alias("names")).join(roots, "root"))
     ids = materialise(named.select(F.col("first").alias("doc_id")).distinct())
     wanted = of_ids(docs, ids, ids.count(), "left_semi").join(named.withColumnRenamed("first", "doc_id"), "doc_id").select("root", "names", "text")
-    windows = materialise(wanted.mapInPandas(_windows(size), "window long, root long, start int").join(roots, "root"))
-    earliest = windows.groupBy("window").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most").select("window", "least")
-    starts = windows.join(earliest, "window").where("least < first").groupBy("root", "first").agg(F.collect_set("start").alias("starts"))
-    copies = texts.join(roots, "root").where("doc_id > first").select("doc_id", "root").distinct()
+    windows = materialise(wanted.mapInPandas(_windows(size), "window long, check long, root long, start int").join(roots, "root"))
+    earliest = windows.groupBy("window", "check").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most").select("window", "check", "least")
+    starts = windows.join(earliest, ["window", "check"]).where("least < first").groupBy("root", "first").agg(F.collect_set("start").alias("starts"))
+    earlier = texts.groupBy("root", "check").agg(F.min("doc_id").alias("before"))
+    copies = texts.join(earlier, ["root", "check"]).where("doc_id > before").select("doc_id", "root").distinct()
     found = starts.select(F.col("first").alias("doc_id"), "root", "starts").unionByName(copies.withColumn("starts", F.lit(None).cast("array<int>")))
     out = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("root", "starts")).alias("found")))
     discard(marks, roots, named, ids, windows)
@@ -238,7 +243,7 @@ def without(text: str | None, words: list[bytes], gone: np.ndarray) -> tuple[str
 
 
 def apply(docs: DataFrame, found: DataFrame, finish: Callable[[str | None, list[bytes], np.ndarray], tuple], schema: str, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``result`` of ``finish(text, words, which go)``. Where few texts lose words, only these are shuffled."""
+    """``docs`` with a struct column ``result`` of ``finish(text, words, which go)``, which replaces a column of that name. Where few texts lose words, only these are shuffled."""
 
     def result(texts: pd.Series, rows: list) -> pd.DataFrame:
         out = []
@@ -256,9 +261,11 @@ def apply(docs: DataFrame, found: DataFrame, finish: Callable[[str | None, list[
     def same(texts: pd.Series) -> pd.DataFrame:
         return result(texts, [None] * len(texts))
 
-    ids = found.select(F.col("doc_id").alias(id_col))
+    docs = docs.drop("_found", "result")
+    own = found.select(F.col("doc_id").alias(id_col), F.col("found").alias("_found"))
+    ids = own.select(id_col)
     if ids.count() > BROADCAST_IDS:
-        return docs.join(found.withColumnRenamed("doc_id", id_col), id_col, "left").withColumn("result", changed(F.col(text_col), "found")).drop("found")
-    hit = docs.join(F.broadcast(ids), id_col, "left_semi").join(found.withColumnRenamed("doc_id", id_col), id_col)
+        return docs.join(own, id_col, "left").withColumn("result", changed(F.col(text_col), "_found")).drop("_found")
+    hit = docs.join(F.broadcast(ids), id_col, "left_semi").join(own, id_col)
     rest = docs.join(F.broadcast(ids), id_col, "left_anti")
-    return hit.withColumn("result", changed(F.col(text_col), "found")).drop("found").unionByName(rest.withColumn("result", same(F.col(text_col))))
+    return hit.withColumn("result", changed(F.col(text_col), "_found")).drop("_found").unionByName(rest.withColumn("result", same(F.col(text_col))))
