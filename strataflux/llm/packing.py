@@ -15,87 +15,106 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
 from strataflux.llm.bpe import byte_characters, tokenizer
-from strataflux.llm.common import discard, materialise
+from strataflux.llm.common import bounded_batches, discard, materialise
 
 #: Tokens in a sequence; documents in a partition; rounds of exchange, at most.
 CAPACITY, PARTITION, ROUNDS = 4096, 50_000, 4
-#: Words whose ids a task remembers.
+#: Cuts of words whose ids a task remembers.
 MEMORY = 300_000
-_odd = re.compile("[\x1c-\x1f]").search
-#: The pre-tokenizer's pattern, a fixed value of the vocabulary file.
-_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_plain = re.compile("(?!.*<\\|)[\0-\u012f\u0131-\u024f]*\\Z", re.S).match
+#: Python splits at these as well, the tokenizer does not.
+_splits = re.compile("[\x1c-\x1f]").search
+#: The pre-tokenizer's pattern, a fixed value of the vocabulary file, for lower-cased plain text.
+_LETTERS, _NUMBERS = ("".join(c for c in map(chr, [*range(0x250), 0x2C65, 0x2C66]) if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}"))
+_cuts = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+").findall
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds:
-    """Ids of words without white space, as bytes; what was encoded before is remembered within bounds.
+class Ids:
+    """Ids of texts as bytes; what was encoded before is remembered within bounds.
 
     Below U+0250 Python and the tokenizer's normaliser lower alike (but for U+0130) and nothing is composed, so such
-    a word is cut by the pre-tokenizer's pattern and each cut is encoded once; any other word goes to the tokenizer.
+    text is cut by the pre-tokenizer's pattern, and the cuts that are new are encoded together by the tokenizer's model. The last
+    token of a cut, and no other, ends a word. Any other word goes to the tokenizer.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.words, self.cuts = tokenizer(path), {}, {}
-        self.shown = {b: ord(c) for b, c in byte_characters().items()}
-
-    def whole(self, text: str) -> bytes:
+        self.tokenizer, self.known = tokenizer(path), {}
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.shown = {b: ord(c) for b, c in byte_characters().items()} | {32: 32}
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _cut(self, cut: str) -> bytes:
-        found = self.cuts[cut] = array("I", [t.id for t in self.tokenizer.model.tokenize(cut.encode().decode("latin-1").translate(self.shown))]).tobytes()
-        return found
-
-    def add(self, words: set[str]) -> None:
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        if len(self.cuts) > MEMORY:
-            self.cuts.clear()
-        cuts = self.cuts
-        for w in words.difference(self.words):
-            if max(w) < "\u0250" and "\u0130" not in w and "<|" not in w:
-                self.words[w] = b"".join([cuts.get(c) or self._cut(c) for c in _TOKENS.findall(w.lower())])
+    def _encode(self, cuts: list[str]) -> Iterator[bytes]:
+        for lo in range(0, len(cuts), 50_000):
+            lines = " ".join(cuts[lo : lo + 50_000]).encode().decode("latin-1").translate(self.shown)
+            ids = np.array(self.model.encode_batch_fast([lines], add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            raw = ids.tobytes()
+            yield from (raw[a:b] for a, b in zip([0, *ends], ends))
+
+    def of(self, texts: list[str | None]) -> Iterator[bytes]:
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        cuts, odd = [], set()
+        for x in texts:
+            if not x:
+                cuts.append([])
+            elif _plain(x):
+                cuts.append(_cuts(x.lower()))
+            elif _splits(x):
+                cuts.append([x])
+                odd.add(x)
             else:
-                self.words[w] = self.whole(w)
-
-
-@lru_cache(2)
-def word_ids(path: str) -> WordIds:
-    """One for each Python worker."""
-    return WordIds(path)
+                own = []
+                for w in x.split():
+                    if _plain(w):
+                        own += _cuts(w.lower())
+                    else:
+                        own.append(w)
+                        odd.add(w)
+                cuts.append(own)
+        self.known.update((w, self._whole(w)) for w in odd.difference(self.known))
+        new = list(set().union(*cuts).difference(self.known))
+        self.known.update(zip(new, self._encode(new), strict=True))
+        known = self.known.__getitem__
+        return (b"".join(map(known, x)) for x in cuts)
 
 
 def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token pieces of every document, cut every ``capacity`` tokens.
 
     The tokenizer drops white space and no token crosses it, so words between white space have their ids for
-    themselves. Python also splits at U+001C to U+001F; such texts are encoded whole.
+    themselves.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = word_ids(path)
+        known = Ids(path)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for lo in range(0, len(b), 512):
-                part = b.iloc[lo : lo + 512]
-                words = [x.split() if x and not _odd(x) else [] for x in part["text"]]
-                known.add(set().union(*words))
+            for lo in range(0, len(b), 256):
+                part = b.iloc[lo : lo + 256]
                 rows = []
-                for i, x, w in zip(part["id"].array, part["text"], words):
-                    ids = (known.whole(x) if x and _odd(x) else b"".join(map(known.words.__getitem__, w))) + end
+                for i, ids in zip(part["id"].array, known.of(part["text"].tolist())):
+                    ids += end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own)))
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, PIECES)
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
