@@ -1,17 +1,19 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Documents are sets of word shingles; equal sets are one class from the start. Every tree
-branches the classes by minwise tokens: a node chooses two coordinates of the minhash
-signature, and the classes that agree on one of them form a child. At the similarity
-threshold a pair follows a branch often enough to stay together in most trees, and the
-trees are repeated until the chance to miss a pair is below 1e-8.
-
-In each node, classes are held against the node's first class; whatever links joins one
-component. A node in which one component is left is done. A node in which few classes lie
-outside its largest component is compared exhaustively: each of these against every class
-of another component. All other nodes branch again. Candidates whose sketches of all 64
-coordinates differ too much are dropped (a pair at the threshold is lost with a chance of
-about 1e-6); the others are confirmed on their full sets.
+branches the classes by minwise tokens: a root takes the classes that agree on one coordinate
+of the minhash signature, and a node that is too large chooses two more, each with a child for the
+classes that agree on it. At the similarity threshold a pair misses all roots with a chance of 1e-10, and
+follows a branch in most of the nodes that it shares.
+
+Each node has a pivot, its class of least hash, which many nodes share. Classes whose sketches are near
+that of a pivot form the pivot's star. A star is compared exhaustively on full sets, in blocks of bounded size, and gives the
+links of a spanning forest, never all pairs: groups of near copies, of any size, are dealt with here. The
+other classes of a node that is small enough are held against every class of it that shares no star with them:
+candidates whose sketches of 64 coordinates differ too much are dropped (a pair at the threshold is lost with a chance of
+about 1e-6), the others are confirmed on full sets. Larger nodes branch; after the last
+level every node is compared exhaustively, whatever its size. The comparisons within one
+star grow with the square of its size, rows and memory do not.
 
 Null and empty texts, and texts without words, have the empty set and no links. Rows with a
 null id, and rows with the id of another row, are documents of their own. Other columns are
@@ -24,17 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, discard, materialise, text_words, windows_of, word_hashes
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, text_words, windows_of, word_hashes
 from strataflux.llm.components import components
 
-#: Coordinates of a signature; those used by the roots of the trees (two each).
+#: Coordinates of a signature; those used by the roots of the trees.
 COORDINATES, ROOTS = 64, 12
-#: Classes outside a node's largest component up to which it is compared exhaustively.
-SMALL = 32
-#: Levels of branching. What is still in large nodes after the last is joined by rarest shingles, which is exact.
-DEPTH = 2
+#: Comparisons of sketches up to which a node does not branch: its classes outside the pivot's star, times all its classes; levels of branching.
+SMALL, LEVELS = 1 << 25, 6
+#: Shingles in a block of a star.
+BLOCK_SHINGLES = 200_000
 _rng = np.random.default_rng(20240229)
 _MULT = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -86,19 +88,74 @@ def _agree() -> Column:
     return F.lit(COORDINATES) - differ
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def forest(cls: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the classes whose sets are similar enough; all pairs are compared."""
+    sizes = np.array([len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(at) > 1
+    row, col = np.repeat(np.arange(len(sets)), sizes)[shared[at]], (shared.cumsum() - 1)[at[shared[at]]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(shared.sum()), 2048):
+        own = slice(*np.searchsorted(col, [lo, lo + 2048]))
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[row[own], col[own] - lo] = 1
+        common += part @ part.T
+    linked = common * (100 + percent) >= (sizes[:, None] + sizes[None]) * percent
+    root, out = np.arange(len(sets)), []
+    for k in range(1, len(sets)):
+        near = np.flatnonzero(linked[k, :k])
+        roots, first = np.unique(root[near], return_index=True)
+        out += [(int(cls[k]), int(cls[j])) for j in near[first]]
+        if len(roots):
+            root[np.isin(root, roots)] = root[k] = roots[0]
+    return out
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; linked are sets whose Jaccard similarity is ``percent`` / 100 or more."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _grouped(docs, size, percent, id_col, text_col, small, block).drop("cls", "label")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the smallest id, of its rows the one whose set has the least hash.
+
+    Rows are told apart by id and set, so that another text of the same id is a document of its own; of equal rows one
+    stays. Rows with a null id or without words stay.
+    """
+    found = materialise(_grouped(docs, size, percent, id_col, text_col, SMALL, BLOCK_SHINGLES).where("doc_id is not null and n_shingles > 0").select("doc_id", "cls", "label"))
+    groups = found.groupBy("label").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "cls")).alias("stays")).where("n > 1")
+    rows = found.distinct().join(groups.hint("merge"), "label").select("doc_id", "cls", (F.struct("doc_id", "cls") == F.col("stays")).alias("stays"))
+    rows = materialise(rows)
+    ids = materialise(rows.select("doc_id").distinct())
+    few = (F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids).withColumnRenamed("doc_id", id_col)
+
+    @F.pandas_udf("long")
+    def cls(texts: pd.Series) -> pd.Series:
+        sets = [shingle_set(x, size) for x in texts]
+        return pd.Series([class_of(s) if len(s) else None for s in sets], dtype="Int64")
+
+    hit = docs.join(few, id_col, "left_semi").withColumn("_cls", cls(text_col))
+    keyed = rows.select(F.col("doc_id").alias(id_col), F.col("cls").alias("_cls"), "stays")
+    stay = hit.join(keyed.where("stays").drop("stays"), [id_col, "_cls"], "left_semi").dropDuplicates([id_col, "_cls"])
+    other = hit.join(keyed.select(id_col, "_cls"), [id_col, "_cls"], "left_anti")
+    return docs.join(few, id_col, "left_anti").unionByName(stay.drop("_cls")).unionByName(other.drop("_cls"))
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, small: int, block: int) -> DataFrame:
+    """Rows as of :func:`near_duplicates` with their class and its label, which near duplicates share."""
+    docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialise(docs.mapInPandas(_sketches(size), f"doc_id long, {_SKETCH}"))
-    classes = materialise(
-        rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), *(F.any_value(c).alias(c) for c in ("n_shingles", "mh", "k0", "k1", "k2", "k3")))
-    )
+    sketch = ["n_shingles", "k0", "k1", "k2", "k3"]
+    classes = materialise(rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), *(F.any_value(c).alias(c) for c in (*sketch, "mh"))))
     least = int(COORDINATES * (p := percent / 100 + (1 - percent / 100) / 16) - 5.4 * (COORDINATES * p * (1 - p)) ** 0.5)
+    sizes_fit = F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent
+    used: list[DataFrame] = []
 
-    def candidates(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
-        sizes = F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent
-        found = a.alias("a").join(b.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & (F.col("a.label") != F.col("b.label")) & sizes & (_agree() >= least) & (F.lit(True) if also is None else also))
-        return found.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()
+    def kept_for_now(df: DataFrame) -> DataFrame:
+        used.append(materialise(df))
+        return used[-1]
 
     def sets_of(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in rows:
@@ -107,46 +164,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                 yield pd.DataFrame({"cls": [class_of(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
     def full_sets(wanted: DataFrame) -> DataFrame:
-        """(cls, shingles) of the wanted classes; only their texts are read out of the table and shuffled."""
-        ids = materialise(wanted.distinct().join(classes.select("cls", "first"), "cls").select(F.col("first").alias("doc_id")).distinct())
+        """(cls, shingles) of the wanted classes, and of a few more; only their texts are read out of the table. A class may come twice, where an id does."""
+        ids = kept_for_now(wanted.distinct().join(classes.select("cls", "first"), "cls").select(F.col("first").alias("doc_id")).distinct())
         few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        sets = materialise(docs.join(few, "doc_id", "left_semi").mapInPandas(sets_of, "cls long, shingles array<long>").dropDuplicates(["cls"]))
-        discard(ids)
-        return sets
+        return docs.join(few, "doc_id", "left_semi").mapInPandas(sets_of, "cls long, shingles array<long>")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The pairs that are links, by their full sets."""
-        pairs = materialise(pairs)
-        sets = full_sets(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))))
+        pairs = kept_for_now(pairs)
+        sets = kept_for_now(full_sets(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls")))))
         both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a").join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
         common = F.size(F.array_intersect("sa", "sb"))
-        links = materialise(both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"))
-        discard(pairs, sets)
-        return links
-
-    def loners(rows: DataFrame) -> DataFrame:
-        """Classes of ``rows`` with so many shingles that no other one of them has that none of these can be similar enough."""
-        sets = full_sets(rows.select("cls"))
-        private = sets.select("cls", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("cls").alias("cls")).where("n = 1").groupBy("cls").agg(F.count("*").alias("own"))
-        out = materialise(sets.select("cls", F.size("shingles").alias("size")).join(private, "cls").where(F.col("own") * 100 > F.col("size") * (100 - percent)).select("cls"))
-        discard(sets)
-        return out
-
-    def by_rarest(rows: DataFrame) -> DataFrame:
-        """All pairs of different components that can be links: such sets share one of the rarest shingles of each, as many as may differ and one more.
-
-        The rarest shingle that two sets share leaves enough shingles after it in both of them, or they are no link.
-        """
-        sets = full_sets(rows.select("cls"))
-        each = sets.select("cls", F.explode("shingles").alias("s"))
-        count = each.groupBy("s").agg(F.count("*").alias("df"))
-        order = F.row_number().over(Window.partitionBy("cls").orderBy("df", "s"))
-        first = each.join(count.hint("merge"), "s").withColumn("_r", order).where("df > 1").join(rows, "cls").where(F.col("_r") <= F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)
-        first = materialise(first.select("*", (F.col("n_shingles") - F.col("_r")).alias("after")).drop("_r", "df").withColumnRenamed("s", "node"))
-        enough = (F.least("a.after", "b.after") + 1) * (100 + percent) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * percent
-        pairs = materialise(candidates(first, first, (F.col("a.cls") < F.col("b.cls")) & enough))
-        discard(sets, first)
-        return pairs
+        return materialise(both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"))
+
+    def within_stars(members: DataFrame) -> DataFrame:
+        """Links of a spanning forest of each star, from (star, cls, n_shingles)."""
+        blocks = members.groupBy("star").agg(F.ceil(F.sum("n_shingles") / block).cast("int").alias("n_blocks"))
+        own = F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int")
+        dealt = members.join(blocks.hint("merge"), "star").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        dealt = dealt.select("star", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "cls")
+
+        def compare(of: pd.DataFrame) -> pd.DataFrame:
+            of = of.drop_duplicates("cls")
+            links = forest(of["cls"].to_numpy(), list(of["shingles"]), percent)
+            return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+        sets = full_sets(members.select("cls"))
+        return materialise(dealt.join(sets.hint("merge"), "cls").groupBy("star", "low", "high").applyInPandas(compare, "a long, b long"))
 
     def branch(nodes: DataFrame, level: int) -> DataFrame:
         """Children of nodes: a row for each of the coordinates that the node chooses."""
@@ -156,65 +200,44 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         else:
             chosen = [F.pmod(F.xxhash64("node", F.lit(level), F.lit(j)), F.lit(half)).cast("int") + ROOTS + half * j for j in range(2)]
             keys = [F.xxhash64("node", c, F.get("mh", c)) for c in chosen]
-        return nodes.withColumn("node", F.explode(F.array(*keys)))
-
-    columns = ["node", "cls", "n_shingles", "k0", "k1", "k2", "k3"]
-    links = labels = None
-
-    def labelled(nodes: DataFrame) -> DataFrame:
-        if labels is None:
-            return nodes.withColumn("label", F.col("cls"))
-        return nodes.join(labels.hint("merge"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-
-    def mixed(nodes: DataFrame) -> DataFrame:
-        """Nodes of more than one component: their first class, largest component and the count of classes outside it."""
-        each = nodes.groupBy("node", "label").agg(F.count("*").alias("n"), F.min("cls").alias("first"))
-        return each.groupBy("node").agg(F.min("first").alias("pivot"), F.max(F.struct("n", "label"))["label"].alias("main"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
-
-    def link(pairs: DataFrame) -> None:
-        nonlocal links, labels
-        new = confirm(pairs)
-        if new.isEmpty():
-            return
-        links = new if links is None else materialise(links.union(new))
-        labels = materialise(components(links).select(F.col("node").alias("cls"), F.col("root").alias("label")))
-
-    nodes = branch(classes.select("cls", "n_shingles", "mh", "k0", "k1", "k2", "k3"), 0).select(*columns)
-    for level in range(DEPTH):
-        nodes = labelled(nodes)
-        shape = mixed(nodes)
-        nodes = materialise(nodes.join(shape.select("node", "pivot").hint("merge"), "node"))
-        if nodes.isEmpty():
+        return nodes.select(F.explode(F.array(*keys)).alias("node"), "cls", *sketch)
+
+    links, stars = [], None
+    nodes = branch(classes, 0)
+    for level in range(LEVELS):
+        salt = F.xxhash64(F.lit(level))
+        pivots = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min(F.col("cls").bitwiseXOR(salt)).bitwiseXOR(salt).alias("pivot")).where("n > 1")
+        pivots = pivots.join(classes.select(F.col("cls").alias("pivot"), *sketch).hint("merge"), "pivot")
+        near = sizes_fit & (_agree() >= least)
+        members = nodes.alias("a").join(pivots.alias("b").hint("merge"), F.col("a.node") == F.col("b.node")).select("a.*", F.col("b.pivot").alias("star"), near.alias("near"))
+        members = kept_for_now(members)
+        new = members.where("near").select("star", "cls", "n_shingles").distinct()
+        new = kept_for_now(new.join(new.where("cls <> star").select("star").distinct().hint("merge"), "star"))
+        links.append(within_stars(new))
+        stars = new if stars is None else stars.unionByName(new)
+        # What is not in the star of its node is held against the whole node.
+        rest = members.groupBy("node").agg((F.count_if(~F.col("near")) * F.count("*")).alias("work")).where("work > 0")
+        of_class = stars.groupBy("cls").agg(F.collect_set("star").alias("stars"))
+        open_ = kept_for_now(members.join(rest.hint("merge"), "node").join(of_class.hint("merge"), "cls", "left"))
+        easy = open_.where(F.col("work") <= small) if level < LEVELS - 1 else open_
+        apart = F.when(F.col("b.near"), F.lit(True)).otherwise(F.col("a.cls") < F.col("b.cls")) & ~F.coalesce(F.arrays_overlap("a.stars", "b.stars"), F.lit(False))
+        pairs = easy.where(~F.col("near")).alias("a").join(easy.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & sizes_fit & (_agree() >= least) & apart)
+        links.append(confirm(pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()))
+        large = open_.where(F.col("work") > small)
+        if level == LEVELS - 1 or large.isEmpty():
             break
-        link(candidates(nodes.where("cls = pivot"), nodes.where("cls <> pivot")))
-        again = labelled(nodes.drop("label", "pivot"))
-        again = materialise(again.join(mixed(again).hint("merge"), "node"))
-        discard(nodes)
-        easy, hard = again.where(F.col("outside") <= SMALL), again.where(F.col("outside") > SMALL)
-        left = hard.limit(0).select(*columns)
-        if not hard.isEmpty():
-            alone = loners(hard)
-            rest = hard.drop("pivot", "main", "outside").join(alone, "cls", "left_anti")
-            rest = materialise(rest.join(mixed(rest).hint("merge"), "node"))
-            easy = easy.unionByName(rest.where(F.col("outside") <= SMALL), allowMissingColumns=True)
-            left = rest.where(F.col("outside") > SMALL).select(*columns)
-        # A pair that meets in several nodes is compared in one of them.
-        easy = materialise(easy.withColumn("nodes", F.collect_set("node").over(Window.partitionBy("cls"))))
-        once = F.array_min(F.array_intersect("a.nodes", "b.nodes")) == F.col("a.node")
-        link(candidates(easy.where("label <> main"), easy, once))
-        discard(easy)
-        if level == DEPTH - 1 and not left.isEmpty():
-            link(by_rarest(labelled(left.drop("node").distinct())))
-        nodes = branch(left.join(classes.select("cls", "mh"), "cls"), level + 1).select(*columns)
+        nodes = branch(large.select("node", "cls").join(classes.hint("merge"), "cls"), level + 1)
+
+    found = links[0]
+    for more in links[1:]:
+        found = found.union(more)
+    labels = materialise(components(found).select(F.col("node").alias("cls"), F.col("root").alias("label")))
+    discard(*used, *links)
 
     out = rows.select("doc_id", "n_shingles", "cls")
-    of_class = classes.select("cls", "first")
-    if labels is not None:
-        of_class = of_class.join(labels, "cls", "left")
-        smallest = of_class.where("label is not null").groupBy("label").agg(F.min("first").alias("least"))
-        of_class = of_class.join(smallest, "label", "left").select("cls", F.coalesce("least", "first").alias("component_id"))
-    else:
-        of_class = of_class.withColumnRenamed("first", "component_id")
+    of_class = classes.select("cls", "first").join(labels, "cls", "left")
+    smallest = of_class.where("label is not null").groupBy("label").agg(F.min("first").alias("least"))
+    of_class = of_class.join(smallest, "label", "left").select("cls", F.coalesce("label", "cls").alias("label"), F.coalesce("least", "first").alias("component_id"))
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    out = out.join(of_class.hint("merge"), "cls", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = out.join(of_class.hint("merge"), "cls", "left").select("doc_id", "n_shingles", "cls", "label", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -186,7 +186,7 @@ def components(sets: list, percent: int) -> list[int]:
     return [find(k) for k in range(len(sets))]
 
 
-def test_near_duplicates(spark, table, monkeypatch):
+def test_near_duplicates(spark, table):
     rows = sorted(texts(), key=lambda r: r[0])
     shingles = []
     for _, x, *_ in rows:
@@ -197,12 +197,24 @@ def test_near_duplicates(spark, table, monkeypatch):
     for k, r in enumerate(roots):
         least[r] = min(least[r], rows[k][0])
     want = sorted((rows[k][0], len(shingles[k]), least[r]) for k, r in enumerate(roots))
-    for small in (32, 2):  # with few exhausted nodes, large ones branch and end in the join by rarest shingles
-        monkeypatch.setattr(neardup, "SMALL", small)
-        got = queries.op4_near_duplicates(spark, table)
+    docs = spark.read.parquet(f"{table}/documents.parquet")
+    for small, block in ((neardup.SMALL, neardup.BLOCK_SHINGLES), (1, 500)):  # the second branches large nodes and cuts stars into blocks
+        got = neardup.near_duplicates(docs, 3, 85, small=small, block=block)
         assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
 
 
+def test_forest_spans_the_links():
+    r = np.random.default_rng(6)
+    for n in (1, 2, 30):
+        sets = [np.unique(r.choice(40, 30)) for _ in range(n)]
+        links = neardup.forest(np.arange(n), sets, 60)
+        roots, want = list(range(n)), components([set(x.tolist()) for x in sets], 60)
+        for _ in range(n):
+            for a, b in links:
+                roots[a] = roots[b] = min(roots[a], roots[b])
+        assert roots == want and len(links) == n - len(set(want))
+
+
 def test_bpe_and_packing(spark, table):
     from tokenizers import Tokenizer
 
@@ -329,6 +341,41 @@ def test_lines_equal_brute_force(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_lines_of_repeated_ids(spark):
+    """Rows of one id whose lines are the same in another order lose only what each of them shares with an earlier document; other columns stay."""
+    a = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, f"{a}\nlast", 1), (5, f"{a}\nx y z\nq r s", 2), (5, f"q r s\nx y z\n{a}", 3), (6, "", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, found int")
+    got = {r["found"]: r["text"] for r in linededup.apply(df, linededup.repeated_lines(df)).collect()}
+    assert got == {1: f"{a}\nlast", 2: "x y z\nq r s", 3: "q r s\nx y z", 4: ""}
+
+
+def test_passages_of_two_words(spark):
+    """Complementary sequences of two words, which polynomial names take for equal."""
+    order = [bin(k).count("1") % 2 for k in range(1024)]
+    head = " ".join(f"u{k}" for k in range(10))
+    rows = [(1, f"{head} {' '.join('ab'[k] for k in order)}", 0), (2, f"{head} {' '.join('ba'[k] for k in order)}", 0), (3, None, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, result int")
+    first, want = {}, {3: 0}
+    for i, x, _ in rows[:2]:
+        w, gone = x.split(), set()
+        for k in range(len(w) - 49):
+            if first.setdefault(tuple(w[k : k + 50]), i) < i:
+                gone.update(range(k, k + 50))
+        want[i] = len(gone)
+    out = substrings.apply(df, substrings.repeats(df), lambda text, words, gone: (int(gone.sum()),), "n long")
+    assert {r["doc_id"]: r["result"]["n"] for r in out.collect()} == want
+
+
+def test_one_of_each_group_stays(spark):
+    r = random.Random(9)
+    a, b = (" ".join(r.choices([f"w{k}" for k in range(500)], k=80)) for _ in range(2))
+    rows = [(2, a), (5, a), (5, b), (7, b), (8, f"{a} tail"), (9, "all on its own here"), (9, "all on its own here"), (None, a), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in neardup.one_of_each(df).collect()]
+    assert sorted(got, key=str) == sorted([(2, a), (5, b), (9, "all on its own here"), (None, a), (3, None), (4, "")], key=str)
+
+
 def test_patience_is_an_alignment():
     r = random.Random(1)
     for _ in range(500):
