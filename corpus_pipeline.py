@@ -37,9 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that of the smallest id."""
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    gone = materialise(gone)
-    return substrings.of_ids(docs, gone, gone.count(), "left_anti").select(*COLUMNS)
+    return neardup.one_of_each(docs).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
