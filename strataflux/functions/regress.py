@@ -38,18 +38,26 @@ def elimination(k: int) -> list[dict[str, str]]:
 
 
 def least_squares(df: DataFrame, keys: list[str], y: str, regressors: list[Column]) -> DataFrame:
-    """keys, n, yy, c_0.., last_g, sse and rms: coefficients of ``regressors``; rows with a null value do not count."""
-    k = len(regressors)
+    """keys, n, yy, c_0.., last_g, sse and rms: coefficients of ``regressors``, the first of which is the constant 1; rows with a null value do not count.
+
+    What involves y is summed about its mean (Spark's covariances merge without cancellation), so that a large offset of y
+    costs no digits of the residuals; yy is the sum of squares about the mean.
+    """
+    k = len(regressors) - 1
     rows = df.select(*keys, F.col(y).cast("double").alias("y"), *(x.cast("double").alias(f"x_{i}") for i, x in enumerate(regressors))).dropna(subset=["y", *(f"x_{i}" for i in range(k))])
-    aggs = [F.count("*").alias("n"), F.sum(F.col("y") * F.col("y")).alias("yy")]
-    aggs += [F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"g_{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(F.col(f"x_{i}") * F.col("y")).alias(f"r_{i}") for i in range(k)]
+    n = F.col("n")
+    aggs = [F.count("*").alias("n"), F.avg("y").alias("_y"), F.var_pop("y").alias("yy")]
+    aggs += [F.sum(f"x_{i}").alias(f"_s_{i}") for i in range(1, k + 1)] + [F.covar_pop(f"x_{i}", "y").alias(f"r_{i - 1}") for i in range(1, k + 1)]
+    aggs += [F.sum(F.col(f"x_{i}") * F.col(f"x_{j}")).alias(f"g_{i - 1}_{j - 1}") for i in range(1, k + 1) for j in range(i, k + 1)]
     out = rows.groupBy(*keys).agg(*aggs)
+    centred = {f"g_{i}_{j}": F.col(f"g_{i}_{j}") - F.col(f"_s_{i + 1}") * F.col(f"_s_{j + 1}") / n for i in range(k) for j in range(i, k)}
+    out = out.withColumns(centred | {f"r_{i}": F.col(f"r_{i}") * n for i in range(k)} | {"yy": F.col("yy") * n})
     for stage in elimination(k):
         out = out.withColumns({name: F.expr(e) for name, e in stage.items()})
     fitted = sum((F.col(f"c_{i}") * F.col(f"r_{i}") for i in range(1, k)), F.col("c_0") * F.col("r_0"))
+    constant = F.col("_y") - sum((F.col(f"c_{i}") * F.col(f"_s_{i + 1}") for i in range(1, k)), F.col("c_0") * F.col("_s_1")) / n
     out = out.withColumn("sse", F.greatest(F.col("yy") - fitted, F.lit(0.0)))
-    return out.select(*keys, "n", "yy", *(f"c_{i}" for i in range(k)), "last_g", "sse", F.sqrt(F.col("sse") / F.col("n")).alias("rms"))
+    return out.select(*keys, "n", "yy", constant.alias("c_0"), *(F.col(f"c_{i}").alias(f"c_{i + 1}") for i in range(k)), "last_g", "sse", F.sqrt(F.col("sse") / n).alias("rms"))
 
 
 def seasonal(t: str = "t") -> list[Column]:
@@ -72,6 +80,14 @@ def velocity(df: DataFrame, keys: list[str], y: str, t: str = "t", least: int =
     )
 
 
+def stability(df: DataFrame, keys: list[str], y: str, t: str = "t") -> DataFrame:
+    """keys and the deviation of the values about their seasonal fit's trend: by moments, as the spread of y - v t needs no second pass."""
+    v = least_squares(df, keys, y, seasonal(t)).select(*keys, F.col("c_3").alias("_v"))
+    m = df.groupBy(*keys).agg(F.var_pop(y).alias("_yy"), F.covar_pop(t, y).alias("_ty"), F.var_pop(t).alias("_tt")).join(v, keys)
+    spread = F.col("_yy") - 2 * F.col("_v") * F.col("_ty") + F.col("_v") * F.col("_v") * F.col("_tt")
+    return m.select(*keys, F.sqrt(F.greatest(spread, F.lit(0.0))).alias("stability"))
+
+
 def thermal(df: DataFrame, keys: list[str], y: str, t: str = "t", dtemp: str = "dtemp") -> DataFrame:
     """keys and k, the change per degree, from constant, trend and temperature."""
     return least_squares(df, keys, y, [F.lit(1.0), F.col(t), F.col(dtemp)]).select(*keys, F.col("c_2").alias("k"))

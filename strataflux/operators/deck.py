@@ -8,11 +8,19 @@ from strataflux.functions.expr import bearing, local_x, local_y
 
 
 def axes(vertices: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, centre and unit axis (ax, ay) of the vertices (x, y), turned north: the first principal axis in closed form."""
-    m = vertices.groupBy(*keys).agg(F.avg("x").alias("x0"), F.avg("y").alias("y0"), F.var_pop("x").alias("_xx"), F.var_pop("y").alias("_yy"), F.covar_pop("x", "y").alias("_xy"))
+    """keys, centre, unit axis (ax, ay), bearing and extents of the vertices (x, y): the first principal axis in closed form, turned north.
+
+    The centre is in the middle of the vertices' range along and across the axis; extent_s and extent_c are these ranges.
+    """
+    m = vertices.groupBy(*keys).agg(F.var_pop("x").alias("_xx"), F.var_pop("y").alias("_yy"), F.covar_pop("x", "y").alias("_xy"))
     angle = F.atan2(2 * F.col("_xy"), F.col("_xx") - F.col("_yy")) / 2
     turn = F.when(F.sin(angle) < 0, -1.0).otherwise(1.0)
-    return m.select(*keys, "x0", "y0", (F.cos(angle) * turn).alias("ax"), (F.sin(angle) * turn).alias("ay")).withColumn("bearing", bearing(F.col("ax"), F.col("ay")))
+    m = m.select(*keys, (F.cos(angle) * turn).alias("ax"), (F.sin(angle) * turn).alias("ay"))
+    s, c = F.col("x") * F.col("ax") + F.col("y") * F.col("ay"), F.col("y") * F.col("ax") - F.col("x") * F.col("ay")
+    ends = vertices.join(m, keys).groupBy(*keys, "ax", "ay").agg(*(f(x).alias(n) for n, f, x in (("_s0", F.min, s), ("_s1", F.max, s), ("_c0", F.min, c), ("_c1", F.max, c))))
+    mid_s, mid_c = (F.col("_s0") + F.col("_s1")) / 2, (F.col("_c0") + F.col("_c1")) / 2
+    out = ends.select(*keys, (mid_s * F.col("ax") - mid_c * F.col("ay")).alias("x0"), (mid_s * F.col("ay") + mid_c * F.col("ax")).alias("y0"), "ax", "ay", (F.col("_s1") - F.col("_s0")).alias("extent_s"), (F.col("_c1") - F.col("_c0")).alias("extent_c"))
+    return out.withColumn("bearing", bearing(F.col("ax"), F.col("ay")))
 
 
 def to_local(points: DataFrame, lon0: Column, lat0: Column) -> DataFrame:
@@ -25,9 +33,11 @@ def along_across(points: DataFrame) -> DataFrame:
     return points.withColumns({"s": dx * F.col("ax") + dy * F.col("ay"), "c": -dx * F.col("ay") + dy * F.col("ax")})
 
 
-def deck_size(extent_s: Column, extent_c: Column, length: Column, width: Column) -> tuple[Column, Column]:
-    """Length and width: a registry width that is missing or 0 is 10 m; 6 to 40 m in all."""
+def deck_size(extent_s: Column, extent_c: Column, length: Column, width: Column, polygon: Column | None = None) -> tuple[Column, Column]:
+    """Length and width: a registry width that is missing or 0 is 10 m; polygons have the width of their vertices; 6 to 40 m in all."""
     wide = F.coalesce(F.nullif(width, F.lit(0.0)), F.lit(10.0)) + extent_c
+    if polygon is not None:
+        wide = F.when(polygon, extent_c).otherwise(wide)
     return F.greatest(extent_s, length), F.least(F.greatest(wide, F.lit(6.0)), F.lit(40.0))
 
 

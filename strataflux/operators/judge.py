@@ -38,17 +38,17 @@ def distortion(zones: DataFrame, keys: list[str], zone: str, years: Column, span
 def band(zones: DataFrame, keys: list[str], zone: str, years: Column, span: Column, beta_allow: Column, criteria: Criteria = Criteria()) -> DataFrame:
     """keys, r_lo and r_hi: the ratio now if all zones lie two sigma (column sv) and the thermal part (dT) nearer to or farther from 0."""
     w = Window.partitionBy(*keys).orderBy(zone)
-    dv = F.abs(F.lead("v").over(w) - F.col("v"))
+    dv = F.when(F.lead(zone).over(w) == F.col(zone) + 1, F.abs(F.lead("v").over(w) - F.col("v")))
     two = 2 * F.hypot(F.col("sv"), F.lead("sv").over(w))
     one = 2 * F.col("sv") * years + F.coalesce("dT", F.lit(0.0))
     df = zones
     for name, sign in (("lo", -1), ("hi", 1)):
-        df = df.withColumn(f"_d_{name}", F.greatest(F.abs("v") * years + sign * one, F.lit(0.0))).withColumn(f"_b_{name}", F.greatest(dv + sign * two, F.lit(0.0)) * years / 1000 / span)
+        df = df.withColumn(f"_d_{name}", F.greatest(F.abs("v") * years + sign * one, F.lit(0.0))).withColumn(f"_b_{name}", F.when(dv.isNotNull(), F.greatest(dv + sign * two, F.lit(0.0)) * years / 1000 / span))
     ratio = lambda n: F.greatest(F.max(f"_d_{n}") / criteria.settlement_mm, F.coalesce(F.max(F.col(f"_b_{n}") / beta_allow), F.lit(0.0)))
     return df.groupBy(*keys).agg(ratio("lo").alias("r_lo"), ratio("hi").alias("r_hi"))
 
 
-def judge(zones: DataFrame, keys: list[str], thresholds: tuple[float, float, float] | Column, beta_allow: float = 0.002, criteria: Criteria = Criteria()) -> DataFrame:
+def judge(zones: DataFrame, keys: list[str], thresholds: tuple[float, float, float] | Column, beta_allow: float | Column = 0.002, criteria: Criteria = Criteria()) -> DataFrame:
     """keys, n_zones, D_now, D_10y, beta_now, beta_10y, r_now, r_10y and level."""
     out = zones.groupBy(*keys).agg(F.count("*").alias("n_zones"), F.max("D").alias("D_now"), F.max("D10").alias("D_10y"), F.coalesce(F.max("beta"), F.lit(0.0)).alias("beta_now"), F.coalesce(F.max("beta10"), F.lit(0.0)).alias("beta_10y"))
     out = out.withColumns({"r_now": F.greatest(F.col("D_now") / criteria.settlement_mm, F.col("beta_now") / beta_allow), "r_10y": F.greatest(F.col("D_10y") / criteria.settlement_mm, F.col("beta_10y") / beta_allow)})
@@ -60,13 +60,19 @@ def review(level: Column, n_points: Column, cover: Column, has_ring: Column, unc
 
 
 def indicators(segments: DataFrame, keys: list[str], segment: str) -> DataFrame:
-    """keys and for V, ACC, DIFF, CUM the largest value and its grade: -1 without a value, 0 if not significant. Segments have v, acc, v_thr, acc_thr, years and sigma."""
+    """keys and for V, ACC, DIFF, CUM a value and its grade: -1 without a value, 0 if not significant. Segments have v, acc, v_thr, acc_thr, years and sigma.
+
+    The value is the largest of the significant segments, and of all where none is; the first segment of equal ones. DIFF, which has
+    one limit for a structure, is 0 where no two segments are adjacent and null for a single one.
+    """
     w = Window.partitionBy(*keys).orderBy(segment)
     adjacent = F.lead(segment).over(w) == F.col(segment) + 1
     limit = F.coalesce(2 * 2**0.5 * F.col("sigma"), 2 * 2**0.5 * F.max("v_thr").over(Window.partitionBy(*keys)) / 2)
     df = segments.withColumns({"DIFF": F.when(adjacent, F.abs(F.lead("v").over(w) - F.col("v"))), "_d_thr": limit, "V": F.abs("v"), "ACC": F.abs("acc"), "CUM": F.abs("v") * F.col("years")})
     tests = {"V": F.col("V") > F.col("v_thr"), "ACC": F.col("ACC") > F.col("acc_thr"), "DIFF": F.col("DIFF") > F.col("_d_thr"), "CUM": F.col("V") > F.col("v_thr")}
-    best = df.groupBy(*keys).agg(*(F.max(F.struct(F.col(k).alias("x"), (-F.col(segment)).alias("o"), t.alias("sig"))).alias(k) for k, t in tests.items()))
+    best = df.groupBy(*keys).agg(*(F.max(F.when(F.col(k).isNotNull(), F.struct(F.coalesce(t, F.lit(False)).alias("sig"), F.col(k).alias("x"), (-F.col(segment)).alias("o")))).alias(k) for k, t in tests.items()), F.count("*").alias("_n"))
+    none = F.struct(F.lit(False).alias("sig"), F.lit(0.0).alias("x"), F.lit(0).cast(df.schema[segment].dataType).alias("o"))
+    best = best.withColumn("DIFF", F.coalesce("DIFF", F.when(F.col("_n") > 1, none)))
     cols = []
     for k, limits in INDICATORS.items():
         x = F.col(f"{k}.x")
@@ -79,14 +85,16 @@ def unjudged(structures: DataFrame, reason: Column) -> DataFrame:
     return structures.select("*", F.lit(-1).alias("level"), F.lit("판정불가").alias("st"), reason.alias("reason"))
 
 
-def proxy(ends: DataFrame, ring: DataFrame, keys: list[str], years: Column, length: Column, thresholds: tuple[float, float, float] | Column, criteria: Criteria = Criteria()) -> DataFrame:
+def proxy(ends: DataFrame, ring: DataFrame, keys: list[str], years: Column, length: Column, thresholds: tuple[float, float, float] | Column, criteria: Criteria = Criteria(), beta_allow: float | Column = 0.002) -> DataFrame:
     """Judgement from the ground at both ends (keys, end, v, se) against the ring (keys, n_ring, sigma) where the deck has no points."""
     j = ends.join(ring.where(F.col("n_ring") >= 5), keys)
     z = significant(j)
     z = displacement(z, years, criteria)
     both = F.count("*") == 2
-    out = z.groupBy(*keys).agg(F.max("D").alias("D_now"), F.max("D10").alias("D_10y"), F.when(both & F.bool_or("sig"), (F.max("v") - F.min("v")) * F.max(years) / 1000 / F.max(length)).otherwise(0.0).alias("beta_now"))
-    out = out.withColumn("r_now", F.greatest(F.col("D_now") / criteria.settlement_mm, F.col("beta_now") / criteria.beta_simple)).withColumn("r_10y", F.col("D_10y") / criteria.settlement_mm)
+    tilt = lambda t: F.when(both & F.bool_or("sig"), (F.max("v") - F.min("v")) * F.max(t) / 1000 / F.greatest(F.max(length), F.lit(1.0))).otherwise(0.0)
+    out = z.groupBy(*keys).agg(F.max("D").alias("D_now"), F.max("D10").alias("D_10y"), tilt(years).alias("beta_now"), tilt(years + criteria.projection_years).alias("beta_10y"))
+    ratio = lambda k: F.greatest(F.col(f"D_{k}") / criteria.settlement_mm, F.col(f"beta_{k}") / beta_allow)
+    out = out.withColumns({"r_now": ratio("now"), "r_10y": ratio("10y")})
     return out.withColumns({"level": level(F.col("r_now"), F.col("r_10y"), thresholds), "conf": F.lit("낮음"), "review": F.lit(True), "proxy": F.lit(True)})
 
 

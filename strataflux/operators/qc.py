@@ -47,12 +47,17 @@ def rereference(series: DataFrame, keys: list[str], point: str, date: str, value
 
 
 def rereference_baselines(pairs: DataFrame, keys: list[str], master: Column, ref: str = "ref", sec: str = "sec", b: str = "bperp") -> DataFrame:
-    """keys, date, bperp against ``master``: pairs with the commonest reference, in either order (stored reversed: sign changed); the missing are 0."""
+    """keys, date, bperp against ``master``, of the dates that the commonest reference is paired with, and of itself.
+
+    A pair stored reversed has the other sign and counts where the straight one is missing; a master without a pair counts as 0.
+    """
     common = pairs.groupBy(*keys, ref).agg(F.count("*").alias("n")).groupBy(*keys).agg(F.max(F.struct("n", F.col(ref).alias("r")))["r"].alias("common"))
     tagged = pairs.join(common, keys)
-    straight = tagged.where(F.col(ref) == F.col("common")).select(*keys, F.col(sec).alias("date"), F.col(b).alias("b"))
-    turned = tagged.where(F.col(sec) == F.col("common")).select(*keys, F.col(ref).alias("date"), (-F.col(b)).alias("b"))
-    each = straight.unionByName(turned).groupBy(*keys, "date").agg(F.min("b").alias("b"))
+    straight = tagged.where(F.col(ref) == F.col("common")).select(*keys, F.col(sec).alias("date"), F.col(b).alias("b"), F.lit(None).alias("turned"), "common")
+    turned = tagged.where(F.col(sec) == F.col("common")).select(*keys, F.col(ref).alias("date"), F.lit(None).alias("b"), (-F.col(b)).alias("turned"), "common")
+    itself = common.select(*keys, F.col("common").alias("date"), F.lit(0.0).alias("b"), F.lit(None).alias("turned"), "common")
+    each = straight.unionByName(turned).unionByName(itself).groupBy(*keys, "date", "common").agg(F.min("b").alias("b"), F.min("turned").alias("turned"))
+    each = each.select(*keys, "date", F.when(F.col("date") == F.col("common"), 0.0).otherwise(F.coalesce("b", "turned")).alias("b"))
     at_master = F.coalesce(F.max(F.when(F.col("date") == master, F.col("b"))).over(Window.partitionBy(*keys)), F.lit(0.0))
     return each.select(*keys, "date", (F.coalesce("b", F.lit(0.0)) - at_master).alias("bperp"))
 

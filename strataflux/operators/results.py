@@ -44,8 +44,10 @@ def replace_keys(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def previous(history: DataFrame, structure: str, cycle: str, level: str) -> DataFrame:
-    """History with the level of the cycle before."""
-    return history.withColumn("prev", F.lag(level).over(Window.partitionBy(structure).orderBy(cycle)))
+    """History with the level in the run's cycle before; null for what that cycle lacks. There is a row for each cycle to order, however many structures."""
+    cycles = history.select(cycle).distinct().withColumn("_before", F.lag(cycle).over(Window.orderBy(cycle)))
+    before = history.select(structure, F.col(cycle).alias("_before"), F.col(level).alias("prev"))
+    return history.join(F.broadcast(cycles), cycle, "left").join(before, [structure, "_before"], "left").drop("_before")
 
 
 def alert_kind(level: Column, prev: Column, review: Column) -> Column:

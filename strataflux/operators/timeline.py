@@ -60,11 +60,11 @@ def fill_temperature(dates: DataFrame, weather: DataFrame, keys: list[str], on:
     return out.withColumn("dtemp", F.col(value) - F.avg(value).over(w))
 
 
-def gaps(dates: DataFrame, keys: list[str], date: str, as_of: Column, revisit_days: float = 365.25 / 12) -> DataFrame:
-    """keys, n_used, n_expected, coverage, max_gap_days, last_date, stale_days and flag."""
+def gaps(dates: DataFrame, keys: list[str], date: str, as_of: Column, revisit_days: float = 12.0) -> DataFrame:
+    """keys, n_used, n_expected, coverage, max_gap_days, last_date, stale_days and flag. n_expected is rounded for display only."""
     w = Window.partitionBy(*keys).orderBy(date)
     steps = dates.select(*keys, date).distinct().withColumn("_gap", F.datediff(F.col(date), F.lag(date).over(w)))
     out = steps.groupBy(*keys).agg(F.count("*").alias("n_used"), F.coalesce(F.max("_gap"), F.lit(0)).alias("max_gap_days"), F.min(date).alias("_first"), F.max(date).alias("last_date"))
-    out = out.withColumn("n_expected", F.floor(F.datediff(F.col("last_date"), F.col("_first")) / revisit_days + 1)).withColumn("stale_days", F.datediff(as_of, F.col("last_date")))
-    out = out.withColumn("coverage", F.col("n_used") / F.greatest(F.col("n_expected"), F.lit(1)))
+    expected = F.datediff(F.col("last_date"), F.col("_first")) / F.lit(revisit_days) + 1
+    out = out.withColumns({"n_expected": F.bround(expected).cast("long"), "coverage": F.col("n_used") / expected, "stale_days": F.datediff(as_of, F.col("last_date"))})
     return out.withColumn("flag", (F.col("coverage") < 0.6) | (F.col("max_gap_days") > 365) | (F.col("stale_days") > 60)).drop("_first")

@@ -188,8 +188,9 @@ def thermal_correction(spark, sf_dir):
 @query(
     """WITH p AS (SELECT o_custkey % 40 AS track, 'd' || (o_orderkey % 17) AS ref, 'd' || (o_custkey % 17) AS sec, (o_orderkey * 37 % 401) - 200 AS bperp FROM orders),
   c AS (SELECT track, max({'n': n, 'ref': ref}).ref AS common FROM (SELECT track, ref, count(*) AS n FROM p GROUP BY ALL) GROUP BY track),
-  e AS (SELECT p.track, sec AS date, bperp AS b FROM p JOIN c ON p.track = c.track AND ref = common UNION ALL SELECT p.track, ref, -bperp FROM p JOIN c ON p.track = c.track AND sec = common),
-  m AS (SELECT track, date, min(b) AS b FROM e GROUP BY ALL)
+  e AS (SELECT p.track, sec AS date, bperp AS b, true AS straight FROM p JOIN c ON p.track = c.track AND ref = common UNION ALL SELECT p.track, ref, -bperp, false FROM p JOIN c ON p.track = c.track AND sec = common
+    UNION ALL SELECT track, common, 0, true FROM c),
+  m AS (SELECT track, date, CASE WHEN date = common THEN 0 ELSE coalesce(min(b) FILTER (straight), min(b)) END AS b FROM e JOIN c USING (track) GROUP BY track, date, common)
 SELECT track, date, CAST(b - coalesce(max(b) FILTER (date = 'd3') OVER (PARTITION BY track), 0) AS BIGINT) AS bperp FROM m"""
 )
 def baseline_rereference(spark, sf_dir):
@@ -234,10 +235,10 @@ def ref_cluster(spark, sf_dir):
     return spatial.densest_cluster(places(spark, sf_dir), 900.0, "id", "coh", ["tile"]).select("tile", "centre", "n_cluster", F.round("coh_mean", 6).alias("coh_mean"))
 
 
-@query(f"SELECT id FROM {PLACES_SQL} p WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey % 10 = 0 AND sqrt((p.x - c_custkey * 6151 % 3000) ** 2 + (p.y - c_custkey * 3571 % 3000) ** 2) <= 100)")
+@query(f"SELECT id FROM {PLACES_SQL} p WHERE NOT EXISTS (SELECT 1 FROM customer WHERE sqrt((p.x - c_custkey * 6151 % 3000) ** 2 + (p.y - c_custkey * 3571 % 3000) ** 2) <= 30)")
 def avoid_anti(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 10 = 0").select((F.col("c_custkey") * 6151 % 3000).cast("double").alias("x"), (F.col("c_custkey") * 3571 % 3000).cast("double").alias("y"))
-    return spatial.avoid(places(spark, sf_dir), c, 100.0).select("id")
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 6151 % 3000).cast("double").alias("x"), (F.col("c_custkey") * 3571 % 3000).cast("double").alias("y"))
+    return spatial.avoid(places(spark, sf_dir), c, 30.0).select("id")
 
 
 CUSTOMER_PLACES_SQL = "(SELECT c_custkey AS id, CAST(c_custkey * 6151 % 3000 AS DOUBLE) AS x, CAST(c_custkey * 3571 % 3000 AS DOUBLE) AS y, c_nationkey AS nation, c_acctbal AS bal FROM customer)"
@@ -363,7 +364,8 @@ def weekly(spark, sf_dir) -> DataFrame:
 
 
 @query(
-    f"""WITH h AS (SELECT *, lag(level) OVER (PARTITION BY bridge ORDER BY cycle) AS prev FROM {WEEK_SQL})
+    f"""WITH l AS (SELECT * FROM {WEEK_SQL}), c AS (SELECT cycle, (SELECT max(x.cycle) FROM l x WHERE x.cycle < l.cycle) AS before FROM l GROUP BY cycle),
+  h AS (SELECT l.*, p.level AS prev FROM l JOIN c USING (cycle) LEFT JOIN l p ON p.bridge = l.bridge AND p.cycle = c.before)
 SELECT bridge, cycle, level, prev, CASE WHEN review THEN '확인 필요' WHEN prev IS NULL OR prev < 2 THEN '신규 경보' WHEN level > prev THEN '등급 상승' ELSE '지속' END AS kind FROM h WHERE level >= 2"""
 )
 def alerts(spark, sf_dir):
@@ -371,24 +373,25 @@ def alerts(spark, sf_dir):
 
 
 @query(
-    """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS date FROM events), g AS (SELECT *, date_diff('day', lag(date) OVER (PARTITION BY user_id ORDER BY date), date) AS gap FROM d),
-  s AS (SELECT user_id, count(*) AS n_used, CAST(coalesce(max(gap), 0) AS INT) AS max_gap_days, CAST(date_diff('day', max(date), DATE '2024-02-15') AS INT) AS stale_days, CAST(floor(date_diff('day', min(date), max(date)) / 2.5 + 1) AS BIGINT) AS n_expected FROM g GROUP BY user_id)
-SELECT *, round(n_used / greatest(n_expected, 1), 6) AS coverage, n_used / greatest(n_expected, 1) < 0.6 OR max_gap_days > 365 OR stale_days > 60 AS flag FROM s"""
+    """WITH d AS (SELECT DISTINCT o_custkey % 120 AS track, CAST(o_orderdate AS DATE) AS date FROM orders), g AS (SELECT *, date_diff('day', lag(date) OVER (PARTITION BY track ORDER BY date), date) AS gap FROM d),
+  s AS (SELECT track, count(*) AS n_used, CAST(coalesce(max(gap), 0) AS INT) AS max_gap_days, CAST(date_diff('day', max(date), DATE '1998-08-20') AS INT) AS stale_days,
+    date_diff('day', min(date), max(date)) / 365.25 * 365.25 / 12 + 1 AS expected FROM g GROUP BY track)
+SELECT * EXCLUDE (expected), CAST(round_even(expected, 0) AS BIGINT) AS n_expected, round(n_used / expected, 6) AS coverage, n_used / expected < 0.6 OR max_gap_days > 365 OR stale_days > 60 AS flag FROM s"""
 )
 def gap_info(spark, sf_dir):
-    d = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("date"))
-    g = timeline.gaps(d, ["user_id"], "date", F.lit("2024-02-15").cast("date"), 2.5)
-    return g.select("user_id", "n_used", "max_gap_days", "stale_days", "n_expected", F.round("coverage", 6).alias("coverage"), "flag")
+    d = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 120).alias("track"), F.to_date("o_orderdate").alias("date"))
+    g = timeline.gaps(d, ["track"], "date", F.lit("1998-08-20").cast("date"))
+    return g.select("track", "n_used", "max_gap_days", "stale_days", "n_expected", F.round("coverage", 6).alias("coverage"), "flag")
 
 
 @query(
-    """WITH d AS (SELECT event_type AS track, CAST(max(ts) FILTER (value < 60) AS DATE) AS last FROM events GROUP BY 1), l AS (SELECT event_type AS track, sum(CASE WHEN regexp_matches(props, '"k": 7') THEN 1 ELSE 0 END) AS n FROM events GROUP BY 1)
+    """WITH d AS (SELECT event_type AS track, CAST(max(ts) AS DATE) AS last FROM events GROUP BY 1), l AS (SELECT event_type AS track, sum(CASE WHEN regexp_matches(props, '"k": 7') THEN 1 ELSE 0 END) AS n FROM events GROUP BY 1)
 SELECT '경고' AS level, 'data' AS kind, track, date_diff('day', last, DATE '2024-03-31') || ' days without a new date' AS msg FROM d WHERE date_diff('day', last, DATE '2024-03-31') > 24
 UNION ALL SELECT '주의', 'log', track, n || ' errors' FROM l WHERE n > 0"""
 )
 def health_events(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    last = e.where("value < 60").groupBy(F.col("event_type").alias("track")).agg(F.max(F.to_date("ts")).alias("last_date")).withColumn("end", F.lit(None).cast("date"))
+    last = e.groupBy(F.col("event_type").alias("track")).agg(F.max(F.to_date("ts")).alias("last_date")).withColumn("end", F.lit(None).cast("date"))
     logs = e.groupBy(F.col("event_type").alias("track")).agg(F.sum(F.regexp_count("props", F.lit('"k": 7'))).cast("long").alias("n"))
     found = logs.where("n > 0").select(F.lit("주의").alias("level"), F.lit("log").alias("kind"), "track", F.format_string("%d errors", "n").alias("msg"))
     return results.stale_tracks(last, "track", F.lit("2024-03-31").cast("date")).unionByName(found)

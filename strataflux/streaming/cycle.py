@@ -7,24 +7,18 @@ they supersede; nothing is dropped for lateness.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflux.operators.results import upsert
+from strataflux.session import checkpoint_dir
 
 
 def shared(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder; a local session without one gets a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-strataflux-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/cycle-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(spark)}/cycle-{uuid.uuid4().hex}"
 
 
 def run_cycle(source: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
