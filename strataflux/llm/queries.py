@@ -24,8 +24,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.features(_table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("base_failed", quality.base_failed())
-    rules = [quality.Rule("base", F.col("base_failed")), *quality.default_rules()]
-    return quality.cascade(rows, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("passed").alias("kept"))
+    # Every count is asked for, so that the cascade finds its order but has no feature left to save.
+    rules = [quality.Rule("base", quality.base_failed(), ("n_words", "n_repeat_words")), *quality.default_rules()]
+    return quality.cascade(rows, rules, given=quality.FEATURES).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("passed").alias("kept"))
 
 
 def vocabulary(name: str) -> str:
