@@ -33,7 +33,9 @@ from strataflux.llm.components import components
 
 #: Coordinates of a signature; those used by the roots of the trees.
 COORDINATES, ROOTS = 64, 12
-#: Comparisons of sketches up to which a node does not branch: its classes outside the pivot's star, times all its classes; levels of branching.
+#: Classes outside the pivot's star up to which a root does not branch, so that groups of near copies meet a pivot of their own in the children of crowded roots.
+FEW = 128
+#: Comparisons of sketches (classes outside the pivot's star, times all classes) up to which another node does not branch; levels of branching.
 SMALL, LEVELS = 1 << 25, 6
 #: Shingles in a block of a star.
 BLOCK_SHINGLES = 200_000
@@ -113,9 +115,9 @@ def forest(cls: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
     return out
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, small: int = SMALL, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; linked are sets whose Jaccard similarity is ``percent`` / 100 or more."""
-    return _grouped(docs, size, percent, id_col, text_col, small, block).drop("cls", "label")
+    return _grouped(docs, size, percent, id_col, text_col, few, small, block).drop("cls", "label")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,7 +126,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     Rows are told apart by id and set, so that another text of the same id is a document of its own; of equal rows one
     stays. Rows with a null id or without words stay.
     """
-    found = materialise(_grouped(docs, size, percent, id_col, text_col, SMALL, BLOCK_SHINGLES).where("doc_id is not null and n_shingles > 0").select("doc_id", "cls", "label"))
+    found = materialise(_grouped(docs, size, percent, id_col, text_col, FEW, SMALL, BLOCK_SHINGLES).where("doc_id is not null and n_shingles > 0").select("doc_id", "cls", "label"))
     groups = found.groupBy("label").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "cls")).alias("stays")).where("n > 1")
     rows = found.distinct().join(groups.hint("merge"), "label").select("doc_id", "cls", (F.struct("doc_id", "cls") == F.col("stays")).alias("stays"))
     rows = materialise(rows)
@@ -143,7 +145,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     return docs.join(few, id_col, "left_anti").unionByName(stay.drop("_cls")).unionByName(other.drop("_cls"))
 
 
-def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, small: int, block: int) -> DataFrame:
+def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, few: int, small: int, block: int) -> DataFrame:
     """Rows as of :func:`near_duplicates` with their class and its label, which near duplicates share."""
     docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = materialise(docs.mapInPandas(_sketches(size), f"doc_id long, {_SKETCH}"))
@@ -216,14 +218,14 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
         links.append(within_stars(new))
         stars = new if stars is None else stars.unionByName(new)
         # What is not in the star of its node is held against the whole node.
-        rest = members.groupBy("node").agg((F.count_if(~F.col("near")) * F.count("*")).alias("work")).where("work > 0")
+        rest = members.groupBy("node").agg(F.count_if(~F.col("near")).alias("outside"), F.count("*").alias("n")).where("outside > 0").select("node", (F.col("outside") * F.col("n") <= small if level else F.col("outside") <= few).alias("easy"))
         of_class = stars.groupBy("cls").agg(F.collect_set("star").alias("stars"))
         open_ = kept_for_now(members.join(rest.hint("merge"), "node").join(of_class.hint("merge"), "cls", "left"))
-        easy = open_.where(F.col("work") <= small) if level < LEVELS - 1 else open_
+        easy = open_.where("easy") if level < LEVELS - 1 else open_
         apart = F.when(F.col("b.near"), F.lit(True)).otherwise(F.col("a.cls") < F.col("b.cls")) & ~F.coalesce(F.arrays_overlap("a.stars", "b.stars"), F.lit(False))
         pairs = easy.where(~F.col("near")).alias("a").join(easy.alias("b").hint("merge"), (F.col("a.node") == F.col("b.node")) & (F.col("a.cls") != F.col("b.cls")) & sizes_fit & (_agree() >= least) & apart)
         links.append(confirm(pairs.select(F.least("a.cls", "b.cls").alias("a"), F.greatest("a.cls", "b.cls").alias("b")).distinct()))
-        large = open_.where(F.col("work") > small)
+        large = open_.where("not easy")
         if level == LEVELS - 1 or large.isEmpty():
             break
         nodes = branch(large.select("node", "cls").join(classes.hint("merge"), "cls"), level + 1)

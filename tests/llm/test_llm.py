@@ -119,10 +119,27 @@ def test_quality(spark, table):
 
 
 def test_cascade_order_changes_no_verdict(spark, table):
-    rows = quality.features(spark.read.parquet(f"{table}/documents.parquet"))
-    a = quality.cascade(rows, quality.default_rules()).select("doc_id", "text", "passed").collect()
-    b = quality.cascade(rows, quality.default_rules()[::-1]).select("doc_id", "text", "passed").collect()
-    assert sorted(map(str, a)) == sorted(map(str, b))
+    docs = spark.read.parquet(f"{table}/documents.parquet")
+    rules = [quality.Rule("base", quality.base_failed(), ("n_words", "n_repeat_words")), *quality.default_rules()]
+    lazy, turned = (quality.cascade(docs, r) for r in (rules, rules[::-1]))
+    assert lazy.columns == [*docs.columns, "rejected_by", "passed"]
+    full = quality.cascade(quality.features(docs), rules, given=quality.FEATURES)
+    a, b, c = (sorted(map(str, x.select("doc_id", "text", "passed").collect())) for x in (lazy, turned, full))
+    assert a == b == c and 0 < full.where("passed").count() < full.count()
+
+
+def test_rules_are_ordered_by_rejection_per_cost(spark):
+    """Costs are of features computed from text: windows of words cost more than a count of symbols."""
+    r = random.Random(2)
+    rows = [(k, " ".join(r.choices([f"w{j}" for j in range(999)], k=400)) + " #" * (200 * (k % 4 == 0))) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    dear = quality.Rule("dear", F.col("n_repeat_words") > F.col("n_words") / 4, ("n_repeat_words", "n_words"))
+    cheap = quality.Rule("cheap", F.col("n_symbols") > 100, ("n_symbols",))
+    never = quality.Rule("never", F.col("n_symbols") < 0, ("n_symbols",))
+    found = quality.order_rules(docs, [never, dear, cheap])
+    cost = {x.name: seconds for x, seconds, _ in found}
+    assert cost["dear"] > 2 * cost["cheap"] and {x.name: share for x, _, share in found} == {"never": 0, "dear": 0.25, "cheap": 0.25}
+    assert [x.name for x, _, _ in found] == ["cheap", "dear", "never"]
 
 
 def test_html():
@@ -198,8 +215,8 @@ def test_near_duplicates(spark, table):
         least[r] = min(least[r], rows[k][0])
     want = sorted((rows[k][0], len(shingles[k]), least[r]) for k, r in enumerate(roots))
     docs = spark.read.parquet(f"{table}/documents.parquet")
-    for small, block in ((neardup.SMALL, neardup.BLOCK_SHINGLES), (1, 500)):  # the second branches large nodes and cuts stars into blocks
-        got = neardup.near_duplicates(docs, 3, 85, small=small, block=block)
+    for sizes in ({}, {"few": 1, "small": 1, "block": 500}):  # the second branches at every level and cuts stars into blocks
+        got = neardup.near_duplicates(docs, 3, 85, **sizes)
         assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
 
 
