@@ -34,3 +34,38 @@ class Criteria:
     ring_m: tuple[float, float] = (30.0, 300.0)
     min_ring: int = 8
     min_observations: int = 12
+
+
+#: Where a criteria document keeps what :class:`Criteria` holds.
+_PLACES = {
+    "bperp_max_m": ("quality", "bperp_max_m"), "coherence_ladder": ("quality", "ref_coherence"), "settlement_mm": ("allowable", "total_settlement_mm"),
+    "beta_continuous": ("allowable", "angular_distortion", "continuous"), "beta_simple": ("allowable", "angular_distortion", "simple"), "spans_m": ("allowable", "typical_span_m"),
+    "continuous_types": ("allowable", "continuous_types"), "thresholds": ("ratio_thresholds",), "projection_years": ("projection_years",), "ring_m": ("ground_ring_m",),
+    "min_deck_points": ("review", "min_deck_ps"), "min_cover": ("review", "min_node_cover"),
+}
+
+
+def from_document(base: dict, override: dict | None = None) -> Criteria:
+    """Criteria of a parsed document; a top-level entry of ``override`` takes the place of the whole entry. What neither has keeps its default."""
+    document, found = {**base, **(override or {})}, {}
+    for name, path in _PLACES.items():
+        value = document
+        for key in path:
+            value = value.get(key) if isinstance(value, dict) else None
+        if value is not None:
+            found[name] = tuple(value) if isinstance(value, list) else value
+    if "spans_m" in found:
+        spans = dict(found["spans_m"])
+        found["span_default_m"] = float(spans.pop("default", 25.0))
+        found["spans_m"] = spans
+    if "thresholds" in found:
+        found["thresholds"] = {k: tuple(v) for k, v in found["thresholds"].items()}
+    return Criteria(**found)
+
+
+def load(path: str, override: dict | None = None) -> Criteria:
+    """Criteria from a YAML file; needs the yaml package."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        return from_document(yaml.safe_load(f) or {}, override)

@@ -27,6 +27,11 @@ def phase_to_mm(phase: Column) -> Column:
     return -phase * (WAVELENGTH_M / (4 * math.pi) * 1000)
 
 
+def corrected_phase(phase: Column, look_error: Column, atmosphere: Column) -> Column:
+    """Phase less what is known of the look-angle error and the atmosphere of the slave."""
+    return phase - F.coalesce(look_error, F.lit(0.0)) - F.coalesce(atmosphere, F.lit(0.0))
+
+
 def mm_to_phase(mm: Column) -> Column:
     return mm * (4 * math.pi / (WAVELENGTH_M * 1000))
 

@@ -19,14 +19,60 @@ def amplitude_dispersion(amplitudes: DataFrame, keys: list[str], amp: str) -> Da
 def calibrated(amplitudes: DataFrame, date: str, amp: str) -> DataFrame:
     """Amplitudes over the median of their date."""
     mid = amplitudes.where(F.col(amp) > 0).groupBy(date).agg(F.median(amp).alias("_m"))
-    return amplitudes.join(F.broadcast(mid), date).withColumn(amp, F.col(amp) / F.col("_m")).drop("_m")  # a row for each date
+    return amplitudes.join(mid, date).withColumn(amp, F.col(amp) / F.col("_m")).drop("_m")
+
+
+def amplitude_ratio(pairs: DataFrame, keys: list[str], slave: str, master: str) -> DataFrame:
+    """keys and calamp: mean slave amplitude over mean master amplitude, of valid ones."""
+    valid = lambda c: F.avg(F.when(F.col(c) > 0, F.col(c)))
+    return pairs.groupBy(*keys).agg((valid(slave) / F.nullif(valid(master), F.lit(0.0))).alias("calamp"))
+
+
+def quantile(df: DataFrame, column: str, share: float, hold: int = 100_000, bins: int = 1024) -> float | None:
+    """The exact quantile (linear between neighbours) of a column of any length; nulls do not count.
+
+    Counts of equal bins between the least and the largest value narrow the range that holds the wanted ranks, until it has
+    few enough values to be sorted. The driver holds a count for each bin.
+    """
+    df = df.select(F.col(column).cast("double").alias("x")).where("x is not null")
+    n, lo, hi = df.agg(F.count("*"), F.min("x"), F.max("x")).head()
+    if not n:
+        return None
+    rank = share * (n - 1)
+    first, last = int(np.floor(rank)), int(np.ceil(rank))
+    before, within = 0, n  # values below lo, and in [lo, hi]
+    while within > hold and lo < hi:
+        width = (hi - lo) / bins
+        at = F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("int")
+        found = df.where(F.col("x").between(lo, hi)).groupBy(at.alias("bin")).agg(F.count("*").alias("k"), F.min("x").alias("a"), F.max("x").alias("b")).orderBy("bin").collect()
+        total, kept = before, []
+        for r in found:
+            if total + r["k"] > first and total <= last:
+                kept.append((total, r))
+            total += r["k"]
+        if sum(r["k"] for _, r in kept) == within:
+            break
+        before, lo, hi = kept[0][0], kept[0][1]["a"], kept[-1][1]["b"]
+        within = sum(r["k"] for _, r in kept)
+    if lo == hi:
+        return float(lo)
+    values = df.where(F.col("x").between(lo, hi)).groupBy("x").count().orderBy("x").collect()
+    ends = np.cumsum([r["count"] for r in values])
+    value = lambda k: values[int(np.searchsorted(ends, k - before, "right"))]["x"]
+    return float(value(first) + (value(last) - value(first)) * (rank - first))
+
+
+def usable(count: Column, most: Column, height: Column, lat: Column, lon: Column, da: Column) -> Column:
+    """Pixels with a value on most dates, a plausible height and a place."""
+    return (count >= F.floor(most * 0.8)) & (height > -100) & (height < 9000) & (F.abs(lat) > 0.001) & (F.abs(lon) > 0.001) & (da > 0)
 
 
 def candidates(pixels: DataFrame, da: str, standard: float = 0.42, least: int = 1500, percent: float = 0.12, most: float = 0.70) -> DataFrame:
     """Pixels below the standard dispersion; if these are too few, the best share of all, up to ``most``."""
-    t = pixels.agg(F.count_if(F.col(da) < standard).alias("_n"), F.percentile(da, percent).alias("_p"))
-    limit = t.select(F.when(F.col("_n") < least, F.least(F.lit(most), F.col("_p"))).otherwise(F.lit(standard)).alias("_thr"))
-    return pixels.crossJoin(F.broadcast(limit)).where((F.col(da) > 0) & (F.col(da) < F.col("_thr"))).drop("_thr")  # one row
+    limit = standard
+    if pixels.where(F.col(da) < standard).count() < least:
+        limit = min(most, quantile(pixels, da, percent) or most)
+    return pixels.where((F.col(da) > 0) & (F.col(da) < limit))
 
 
 def interferogram(slave_re: Column, slave_im: Column, master_re: Column, master_im: Column) -> Column:
@@ -96,8 +142,11 @@ def linked_phases(z: np.ndarray) -> tuple[np.ndarray, float]:
     return phase, float(np.abs(np.exp(1j * (np.angle(c[a, b]) - (phase[a] - phase[b]))).mean()))
 
 
-def phase_link(pixels: DataFrame, window: str, key: str, re: str = "re", im: str = "im", least: int = 10) -> DataFrame:
-    """window, key, n_shp, gamma and phases of pixels with ``least`` like ones in their window."""
+def phase_link(pixels: DataFrame, window: str, key: str, re: str = "re", im: str = "im", least: int = 10, least_gamma: float = 0.6) -> DataFrame:
+    """window, key, n_shp, gamma, phases and ds of pixels with ``least`` like ones in their window; ds marks those coherent enough to be used.
+
+    A window is a place of bounded size: its pixels are compared with each other in one task.
+    """
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values(key)
@@ -109,11 +158,11 @@ def phase_link(pixels: DataFrame, window: str, key: str, re: str = "re", im: str
             like = similar(amp, k, limit)
             if like.sum() >= least:
                 phase, gamma = linked_phases(z[like])
-                rows.append((own[window].iloc[0], name, int(like.sum()), round(gamma, 6), [round(float(p), 6) for p in phase]))
-        return pd.DataFrame(rows, columns=[window, key, "n_shp", "gamma", "phases"])
+                rows.append((own[window].iloc[0], name, int(like.sum()), round(gamma, 6), [round(float(p), 6) for p in phase], gamma >= least_gamma))
+        return pd.DataFrame(rows, columns=[window, key, "n_shp", "gamma", "phases", "ds"])
 
     kinds = {c: pixels.schema[c].dataType.simpleString() for c in (window, key)}
-    return pixels.select(window, key, re, im).groupBy(window).applyInPandas(run, f"{window} {kinds[window]}, {key} {kinds[key]}, n_shp int, gamma double, phases array<double>")
+    return pixels.select(window, key, re, im).groupBy(window).applyInPandas(run, f"{window} {kinds[window]}, {key} {kinds[key]}, n_shp int, gamma double, phases array<double>, ds boolean")
 
 
 def bilinear(grid: np.ndarray, rows: int, cols: int) -> np.ndarray:

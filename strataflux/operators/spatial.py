@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strataflux.session import staged
+
 
 def _cell(x: Column, size: float) -> Column:
     return F.floor(x / size)
@@ -49,11 +51,18 @@ def densest_cluster(points: DataFrame, radius: float, key: str, coherence: str,
 
 
 def priority_merge(points: DataFrame, source: str, order: list[str], radius: float, on: list[str] | None = None) -> DataFrame:
-    """Points of the first source, then of each next one those farther than ``radius`` from all kept so far."""
-    kept = points.where(F.col(source) == order[0])
-    for name in order[1:]:
-        kept = kept.unionByName(radius_join(points.where(F.col(source) == name), kept, radius, how="left_anti", on=on))
-    return kept
+    """Points of the first source, then of each next one those farther than ``radius`` from all kept so far; what a step keeps is stored for the next."""
+    kept = [points.where(F.col(source) == order[0])]
+    for k, name in enumerate(order[1:]):
+        so_far = kept[0]
+        for more in kept[1:]:
+            so_far = so_far.unionByName(more)
+        new = radius_join(points.where(F.col(source) == name), so_far, radius, how="left_anti", on=on)
+        kept.append(staged(new) if k < len(order) - 2 else new)
+    out = kept[0]
+    for more in kept[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def pair_offset(pairs: DataFrame, keys: list[str], difference: str, least: int = 5) -> DataFrame:
@@ -61,5 +70,17 @@ def pair_offset(pairs: DataFrame, keys: list[str], difference: str, least: int =
     return pairs.groupBy(*keys).agg(F.count(difference).alias("n_pairs"), F.median(difference).alias("_m")).withColumn("offset", F.when(F.col("n_pairs") >= least, F.col("_m"))).drop("_m")
 
 
+def aligned_offset(pairs: DataFrame, second: DataFrame, first: DataFrame, keys: list[str], least: int = 5, least_first: int = 3) -> DataFrame:
+    """keys, offset and how: the median difference of pairs; with too few, the median of the second pass's ground less that of the first's nearby
+    (0 if that has too few points); null where the second has too few as well. pairs: diff; second, first: value, a row for each point."""
+    p = pairs.groupBy(*keys).agg(F.count("diff").alias("_p"), F.median("diff").alias("_pm"))
+    s = second.groupBy(*keys).agg(F.count("value").alias("_s"), F.median("value").alias("_sm"))
+    f = first.groupBy(*keys).agg(F.count("value").alias("_f"), F.median("value").alias("_fm"))
+    j = s.join(p, keys, "full").join(f, keys, "left")
+    local = F.col("_sm") - F.when(F.col("_f") >= least_first, F.col("_fm")).otherwise(0.0)
+    by_pairs, by_ground = F.col("_p") >= least, F.col("_s") >= least
+    return j.select(*keys, F.when(by_pairs, F.col("_pm")).when(by_ground, local).alias("offset"), F.when(by_pairs, "pairs").when(by_ground, "ground").alias("how"))
+
+
 def top_with_ties(df: DataFrame, keys: list[str], by: str, k: int) -> DataFrame:
     return df.withColumn("_r", F.rank().over(Window.partitionBy(*keys).orderBy(by))).where(F.col("_r") <= k).drop("_r")

@@ -41,6 +41,24 @@ def merge_snapshots(snapshots: DataFrame, keys: list[str], n: str = "n") -> Data
     return snapshots.groupBy(*keys).agg(F.max(n).alias(n))
 
 
+def known_dates(scenes: DataFrame, last_results: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
+    """Dates that are there as a scene or as the last of a result."""
+    return scenes.select(*keys, date).union(last_results.groupBy(*keys).agg(F.max(date).alias(date)).select(*keys, date)).distinct()
+
+
+def needed_dates(slaves: DataFrame, master: Column, keys: list[str], date: str = "date") -> DataFrame:
+    """The slaves' dates and the master's."""
+    return slaves.select(*keys, date).union(slaves.select(*keys, master.alias(date))).distinct()
+
+
+def at_pass(hourly: DataFrame, hour: str, pass_hour: int, values: list[str]) -> DataFrame:
+    """The hour of the pass of each day on which all values are known."""
+    known = F.lit(True)
+    for v in values:
+        known = known & F.col(v).isNotNull()
+    return hourly.where((F.hour(hour) == pass_hour) & (F.minute(hour) == 0) & known)
+
+
 def interpolate_pass(hourly: DataFrame, keys: list[str], hour: str, value: str, weight: Column) -> DataFrame:
     """Add ``at_pass``: the value between this hour and the next; null in the last hour."""
     nxt = F.lead(value).over(Window.partitionBy(*keys).orderBy(hour))

@@ -511,8 +511,10 @@ def support_zones(spark, sf_dir):
 def emi_kernel(spark, sf_dir):
     from strataflux.operators import kernels
 
-    e = table(spark, sf_dir, "embeddings").select(F.col("label").alias("window"), F.col("vec_id").alias("pixel"), F.slice("embedding", 1, 16).alias("re"), F.slice("embedding", 17, 16).alias("im"))
-    return kernels.phase_link(e, "window", "pixel")
+    # A window is 64 neighbouring pixels of a label; 32 dates of complex values.
+    window = F.concat_ws("-", "label", F.floor(F.col("vec_id") / 64))
+    e = table(spark, sf_dir, "embeddings").select(window.alias("window"), F.col("vec_id").alias("pixel"), F.slice("embedding", 1, 32).alias("re"), F.slice("embedding", 33, 32).alias("im"))
+    return kernels.phase_link(e, "window", "pixel", least=3)
 
 
 @query()

@@ -81,3 +81,19 @@ def incidence_layout(samples: DataFrame, values: str) -> DataFrame:
     by_pixel = F.filter(values, lambda x, i: i % 2 == 0)
     by_band = F.slice(values, 1, (F.size(values) / 2).cast("int"))
     return samples.groupBy("file").agg(F.sum(good(by_pixel)).alias("pixel"), F.sum(good(by_band)).alias("band")).withColumn("layout", F.when(F.col("pixel") >= F.col("band"), "pixel").otherwise("band"))
+
+
+def raster_properties(spark: SparkSession, path: str) -> DataFrame:
+    """file, name and value of each property that the XML beside a raster states (width, length, data type, ...); the last of a name counts."""
+    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    pattern = r"(?is)<property\s+name\s*=\s*[\"']([^\"']+)[\"']\s*>.*?<value>\s*(.*?)\s*</value>"
+    pairs = F.arrays_zip(F.regexp_extract_all("value", F.lit(pattern), 1).alias("name"), F.regexp_extract_all("value", F.lit(pattern), 2).alias("value"))
+    each = t.select("file", F.posexplode(pairs).alias("k", "p")).select("file", F.lower("p.name").alias("name"), "k", "p.value")
+    return each.groupBy("file", "name").agg(F.max_by("value", "k").alias("value"))
+
+
+def headings(spark: SparkSession, path: str, default: float = -168.0) -> DataFrame:
+    """file and heading in degrees from metadata that has an element or property of that name; else the default."""
+    t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    found = F.regexp_extract("value", r"(?is)heading[^>]*>(?:\s*<value>)?\s*(-?\d+(?:\.\d+)?)", 1)
+    return t.select("file", F.coalesce(found.try_cast("double"), F.lit(default)).alias("heading"))

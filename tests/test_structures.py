@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strataflux import criteria
 from strataflux.functions import regress
-from strataflux.operators import deck, history, judge, qc, results, structures, timeline
-from strataflux.sources import search, sinks
+from strataflux.operators import deck, history, judge, kernels, qc, results, spatial, structures, timeline
+from strataflux.sources import readers, search, sinks
 
 
 def day(k: int) -> datetime.date:
@@ -161,3 +162,48 @@ def test_known_structures_and_labels(spark):
     a = spark.createDataFrame([("신규 경보", "A", 2, 10.5, 0.5, 0.7, 0.3, 0.8, True, True, 10, 20, 30, 40, 1.5)], "kind string, name string, level int, d_now double, r_now double, r_10y double, r_lo double, r_hi double, uncertain boolean, gap boolean, n_used int, n_expected int, max_gap_days int, stale_days int, thermal_mm double")
     line = history.alert_lines(a).head()["line"]
     assert "범위 30–80 %" in line and "최장 공백 30일" in line and "10년 예측 70 %" in line
+
+
+def test_quantile_is_exact(spark):
+    r = np.random.default_rng(5)
+    for x in (r.normal(size=3000), np.repeat([1.0, 2.0], [900, 2100]), np.full(50, 3.0), r.integers(0, 5, 2000).astype(float)):
+        df = spark.createDataFrame([(float(v),) for v in x], "x double")
+        for share in (0.0, 0.12, 0.3, 0.5, 1.0):
+            assert kernels.quantile(df, "x", share, hold=40, bins=8) == pytest.approx(np.quantile(x, share))
+    assert kernels.quantile(df.limit(0), "x", 0.5) is None
+
+
+def test_offset_falls_back_to_the_ground(spark):
+    pairs = spark.createDataFrame([("a", float(k)) for k in range(5)] + [("b", 9.0)], "k string, diff double")
+    second = spark.createDataFrame([(k, 4.0) for k in "abc" for _ in range(6)] + [("d", 1.0)], "k string, value double")
+    first = spark.createDataFrame([("b", 1.0)] * 3 + [("c", 1.0)], "k string, value double")
+    got = {r["k"]: (r["offset"], r["how"]) for r in spatial.aligned_offset(pairs, second, first, ["k"]).collect()}
+    assert got == {"a": (2.0, "pairs"), "b": (3.0, "ground"), "c": (4.0, "ground"), "d": (None, None)}
+
+
+def test_criteria_documents():
+    c = criteria.from_document({"allowable": {"typical_span_m": {"x": 12, "default": 20}, "total_settlement_mm": 30}, "ratio_thresholds": {"1종": [1, 2, 3]}, "projection_years": 5}, {"projection_years": 7, "ground_ring_m": [10, 90]})
+    assert (c.spans_m, c.span_default_m, c.settlement_mm, c.thresholds, c.projection_years, c.ring_m, c.min_cover) == ({"x": 12}, 20.0, 30, {"1종": (1, 2, 3)}, 7, (10, 90), 0.25)
+
+
+def test_metadata_readers(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<i><property name="WIDTH"><value>120</value></property><property name="width">\n <value> 7 </value></property><property name="data_type"><doc>x</doc><value>FLOAT</value></property></i>')
+    (tmp_path / "b.xml").write_text("<r><heading>-12.5</heading></r>")
+    assert {r["name"]: r["value"] for r in readers.raster_properties(spark, f"{tmp_path}/a.xml").collect()} == {"width": "7", "data_type": "FLOAT"}
+    assert {r["file"][-5:]: r["heading"] for r in readers.headings(spark, f"{tmp_path}/*.xml").collect()} == {"a.xml": -168.0, "b.xml": -12.5}
+
+
+def test_linked_windows_equal_numpy(spark):
+    r = np.random.default_rng(8)
+    z = r.normal(size=(12, 10)) + 1j * r.normal(size=(12, 10))
+    df = spark.createDataFrame([("w", k, [float(x) for x in v.real], [float(x) for x in v.imag]) for k, v in enumerate(z)], "window string, pixel int, re array<double>, im array<double>")
+    got = {x["pixel"]: x for x in kernels.phase_link(df, "window", "pixel", least=3).collect()}
+    amp, limit = np.abs(z), 1.36 * np.sqrt(2 / 10)
+    for k in range(12):
+        grid = np.unique(amp)
+        cdf = np.array([[(a <= g).mean() for g in grid] for a in amp])
+        like = np.abs(cdf - cdf[k]).max(1) <= limit
+        assert (k in got) == (like.sum() >= 3)
+        if k in got:
+            phases, gamma = kernels.linked_phases(z[like])
+            assert got[k]["n_shp"] == like.sum() and np.allclose(got[k]["phases"], phases, atol=1e-5) and got[k]["ds"] == (gamma >= 0.6)
