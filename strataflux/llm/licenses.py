@@ -5,7 +5,9 @@ consecutive tokens, the least of each ``WINNOW`` is a fingerprint. The inverted
 fixed in size, as it grows with the templates alone, and is sent to every task. A shared fingerprint
 fixes a diagonal; fingerprints of one template on near diagonals make a candidate, which is aligned with the template inside a band
 around it, and again with what its matches leave free there, so that places next to each other each count. A match reports how
-much of the template was found and from where to where in the text. Templates are notices and excerpts, not whole licenses.
+much of the template was found and from where to where in the text. Of whole licenses the winnowed fingerprints are listed; a notice is
+so short that its neighbours in a text would decide which of its fingerprints are taken, so all its hashes are listed. Where one license
+holds most of another, each is reported with its own coverage.
 
 Null and empty texts have no matches. Rows with a null id and repeated rows are scanned each for itself.
 """
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from strataflux.llm.common import bounded_batches, windows_of, word_hashes
 
 GRAM, WINNOW, BAND = 3, 3, 12
+#: Tokens from which a template is listed by its winnowed fingerprints only.
+LONG = 64
 #: Share of a template's tokens that must be found.
 LEAST = 0.8
 _token = re.compile(r"[a-z0-9]+").finditer
@@ -42,6 +46,48 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A '
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED "
+    "TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+#: Whole licenses, without their titles and copyright lines. Fixed values.
+LICENSES = {
+    "MIT-license": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT '
+        "SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+        "OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "ISC-license": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY '
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause-license": _BSD_START + _BSD_END,
+    "BSD-3-Clause-license": (
+        _BSD_START + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD_END
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the "
+        "public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all "
+        'present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+}
+
 
 _FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -112,15 +158,15 @@ def places(template: np.ndarray, text: np.ndarray, diagonals: list[int], least:
     return sorted(out, key=lambda x: x[1])
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES | LICENSES, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, template, coverage, start, end, text): each place of a text that holds ``least`` of a template; start and end count code points."""
     names = sorted(templates)
     bodies = [word_hashes(tokens(templates[n])[0]) for n in names]
     index: defaultdict[int, list[tuple[int, int]]] = defaultdict(list)
     for t, body in enumerate(bodies):
-        # Every gram of a template is listed: its text winnows by its surroundings.
-        for p, g in enumerate(windows_of(body, GRAM).tolist()):
-            index[g].append((t, p))
+        grams = windows_of(body, GRAM)
+        for p in fingerprints(grams).tolist() if len(body) >= LONG else range(len(grams)):
+            index[int(grams[p])].append((t, p))
     listed = np.array(sorted(index), np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast((names, bodies, dict(index), listed))
 

@@ -312,6 +312,41 @@ def test_licenses(spark):
     assert got[1, "GPL-3.0-notice"]["text"] == notice.rstrip(".") and got[1, "GPL-3.0-notice"]["coverage"] == 1.0 and got[4, "GPL-3.0-notice"]["coverage"] < 1
 
 
+def subsequence(a: list, b: list) -> int:
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b):
+            last, row[k + 1] = row[k + 1], last + 1 if x == y else max(row[k + 1], row[k])
+    return row[-1]
+
+
+def test_whole_licenses_equal_brute_force(spark):
+    """Licenses with a title, a copyright line, changed words and lines cut anew, between other words: those found are those of which a text holds enough."""
+    r = random.Random(4)
+    rows = []
+    for name in licenses.LICENSES:
+        for share in (0.0, 0.05, 0.6):
+            words = [w if r.random() >= share else f"x{r.randint(0, 99)}" for w in licenses.LICENSES[name].split()]
+            text = "".join(w + (" " if r.random() < 0.9 else "\n") for w in words)
+            other = " ".join(r.choices("lorem ipsum the software is provided of a copy".split(), k=60))
+            rows.append((len(rows), f"{other}. Copyright (c) 2020 A B\n{text} {other}", name, share))
+    rows += [(90, rows[0][1], None, None), (91, None, None, None), (92, "", None, None), (93, "the software " * 20000, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, template string, coverage double")
+    got = {(x["doc_id"], x["template"]): x for x in licenses.scan(df).collect()}
+    for i, text, name, share in rows[:15] + rows[-3:]:
+        own = licenses.tokens(text or "")[0]
+        for k, v in licenses.LICENSES.items():
+            body = licenses.tokens(v)[0]
+            held = subsequence(body, own[:1500]) / len(body)
+            if k == name and share < 0.5 or held < licenses.LEAST:
+                assert ((i, k) in got) == (held >= licenses.LEAST), (i, k, held)
+            if (i, k) in got:
+                assert got[i, k]["coverage"] <= held + 1e-9 and text[got[i, k]["start"] : got[i, k]["end"]] == got[i, k]["text"]
+    assert all(got[k, rows[k][2]]["coverage"] == 1 for k in range(0, 15, 3)) and {t for i, t in got if i == 90} == {t for i, t in got if i == 0}
+
+
 def test_licenses_next_to_each_other(spark):
     mit, cc = licenses.TEMPLATES["MIT-notice"], licenses.TEMPLATES["CC-BY-NC-4.0-notice"]
     damaged = mit.replace("MIT", "MYT")
