@@ -28,7 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import bounded_batches, materialise_bucketed
+from strataflux.llm.common import bounded_batches, discard, materialise, materialise_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -189,4 +189,6 @@ def encode(docs: DataFrame, path: str, finish: Callable[[np.ndarray, bytes], tup
         return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     blocks = chunks.where("part is null").select("chunk", "ids", "nulls", "sizes", "codes")
-    return blocks.groupBy("chunk").cogroup(tokens.groupBy("chunk")).applyInPandas(assemble, f"doc_id long, {schema}")
+    out = materialise(blocks.groupBy("chunk").cogroup(tokens.groupBy("chunk")).applyInPandas(assemble, f"doc_id long, {schema}"))
+    discard(chunks)
+    return out
