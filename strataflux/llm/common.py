@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Characters that separate words: space, and tab to carriage return.
@@ -30,6 +33,19 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that, when they end, gives freed memory back to the system: a worker waits for its next task beside those that run."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder of the session.
 
@@ -77,16 +93,21 @@ def materialise(df: DataFrame, **options: str) -> DataFrame:
 def materialise_bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Like :func:`materialise`, but as a table bucketed by ``key``, which later grouping by that key need not shuffle."""
     name = f"strataflux_{uuid.uuid4().hex}"
-    df.write.options(compression="zstd", path=shared_dir(df.sparkSession)).bucketBy(buckets, key).saveAsTable(name)
-    return df.sparkSession.table(name)
+    path = shared_dir(df.sparkSession)
+    df.write.options(compression="zstd", path=path).bucketBy(buckets, key).saveAsTable(name)
+    out = df.sparkSession.table(name)
+    out.strataflux_path, out.strataflux_table = path, name
+    return out
 
 
 def discard(*frames: DataFrame | None) -> None:
-    """Delete the files of tables from :func:`materialise` that nothing will read again."""
+    """Delete the files, and names, of tables from :func:`materialise` and :func:`materialise_bucketed` that nothing will read again."""
     for df in frames:
         path = getattr(df, "strataflux_path", None)
         if path:
             spark = df.sparkSession
+            if name := getattr(df, "strataflux_table", None):
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

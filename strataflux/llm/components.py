@@ -18,7 +18,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).head()
         if state == seen or not state[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            out.strataflux_path = edges.strataflux_path
+            return out
         seen = state
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))

@@ -21,7 +21,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from strataflux.llm.common import bounded_batches
+from strataflux.llm.common import bounded_batches, lean
 
 #: Rows that a model is fitted on, at most; their ids are drawn by hash.
 MAX_TRAIN_ROWS = 20_000
@@ -69,7 +69,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
             at = np.flatnonzero(c)
             yield pd.DataFrame({"lang": lang, "gram": at, "n": c[at]})
 
-    counts = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInPandas(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInPandas(lean(count), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     got = counts.toPandas()  # at most CLASSES rows for each language
     langs = sorted(got["lang"].unique())
     table = np.full((CLASSES, len(langs)), 0.5)
@@ -135,8 +135,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("lang_shares", T.MapType(T.StringType(), T.DoubleType()))])
 
-    @F.pandas_udf(kind)
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         langs, logp = shared.value
         memory: dict[str, int] = {}
         table = np.zeros((1024, len(langs)), np.float32)
@@ -167,4 +166,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                         shares[at] = {langs[j]: float(p[j]) for j in np.flatnonzero(p)}
             yield pd.DataFrame({"lang_pred": pred, "score": score, "lang_shares": shares})
 
+    @F.pandas_udf(kind)
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return lean(run)(batches)
+
     return bounded_batches(docs).withColumn("_lang", udf(F.col(text_col))).withColumns({k: F.col(f"_lang.{k}") for k in ("lang_pred", "score", "lang_shares")}).drop("_lang")

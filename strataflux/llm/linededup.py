@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, mix
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, lean, materialise, mix
 
 #: Words in a block that is deleted.
 BLOCK_WORDS = 10
@@ -128,7 +128,7 @@ def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str
             keys = [np.unique(keyed_blocks(h, n, block_words)[0]) for h, n in found]
             yield pd.DataFrame({"doc_id": b["doc_id"].array, "key": [text_key(h) for h, _ in found], "lines": [h for h, _ in found], "words": [n for _, n in found], "blocks": keys})
 
-    kept = materialise(docs.mapInPandas(split, "doc_id long, key long, lines array<long>, words array<int>, blocks array<long>"))
+    kept = materialise(docs.mapInPandas(lean(split), "doc_id long, key long, lines array<long>, words array<int>, blocks array<long>"))
     lines = kept.drop("blocks")
     # Rows of one id: the first in order of their lines stands for the id as a partner.
     each = kept.select("doc_id", F.explode("blocks").alias("block"))
@@ -157,7 +157,7 @@ def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "gone": gone})
 
     later = pairs.join(lines.hint("merge"), "doc_id")
-    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before"), F.col("own.words").alias("before_words")).hint("merge"), "first").select("doc_id", "key", "shared", "before", "before_words", "lines", "words").mapInPandas(align, "doc_id long, key long, gone array<int>")
+    aligned = later.join(one.select(F.col("doc_id").alias("first"), F.col("own.lines").alias("before"), F.col("own.words").alias("before_words")).hint("merge"), "first").select("doc_id", "key", "shared", "before", "before_words", "lines", "words").mapInPandas(lean(align), "doc_id long, key long, gone array<int>")
     found = aligned.select("doc_id", "key", F.explode("gone").alias("line")).distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("line")).alias("gone"))
     out = materialise(found.groupBy("doc_id").agg(F.collect_list(F.struct("key", "gone")).alias("found")))
     discard(kept, known, pairs)

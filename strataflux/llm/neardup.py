@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, text_words, windows_of, word_hashes
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, lean, materialise, text_words, windows_of, word_hashes
 from strataflux.llm.components import components
 
 #: Coordinates of a signature; those used by the roots of the trees.
@@ -126,10 +126,12 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     Rows are told apart by id and set, so that another text of the same id is a document of its own; of equal rows one
     stays. Rows with a null id or without words stay.
     """
-    found = materialise(_grouped(docs, size, percent, id_col, text_col, FEW, SMALL, BLOCK_SHINGLES).where("doc_id is not null and n_shingles > 0").select("doc_id", "cls", "label"))
+    every = _grouped(docs, size, percent, id_col, text_col, FEW, SMALL, BLOCK_SHINGLES)
+    found = every.where("doc_id is not null and n_shingles > 0").select("doc_id", "cls", "label")
     groups = found.groupBy("label").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "cls")).alias("stays")).where("n > 1")
     rows = found.distinct().join(groups.hint("merge"), "label").select("doc_id", "cls", (F.struct("doc_id", "cls") == F.col("stays")).alias("stays"))
     rows = materialise(rows)
+    discard(every)
     ids = materialise(rows.select("doc_id").distinct())
     few = (F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids).withColumnRenamed("doc_id", id_col)
 
@@ -148,7 +150,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
 def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, few: int, small: int, block: int) -> DataFrame:
     """Rows as of :func:`near_duplicates` with their class and its label, which near duplicates share."""
     docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = materialise(docs.mapInPandas(_sketches(size), f"doc_id long, {_SKETCH}"))
+    rows = materialise(docs.mapInPandas(lean(_sketches(size)), f"doc_id long, {_SKETCH}"))
     sketch = ["n_shingles", "k0", "k1", "k2", "k3"]
     classes = materialise(rows.where("n_shingles > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), *(F.any_value(c).alias(c) for c in (*sketch, "mh"))))
     least = int(COORDINATES * (p := percent / 100 + (1 - percent / 100) / 16) - 5.4 * (COORDINATES * p * (1 - p)) ** 0.5)
@@ -169,7 +171,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
         """(cls, shingles) of the wanted classes, and of a few more; only their texts are read out of the table. A class may come twice, where an id does."""
         ids = kept_for_now(wanted.distinct().join(classes.select("cls", "first"), "cls").select(F.col("first").alias("doc_id")).distinct())
         few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-        return docs.join(few, "doc_id", "left_semi").mapInPandas(sets_of, "cls long, shingles array<long>")
+        return docs.join(few, "doc_id", "left_semi").mapInPandas(lean(sets_of), "cls long, shingles array<long>")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The pairs that are links, by their full sets."""
@@ -233,8 +235,9 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
     found = links[0]
     for more in links[1:]:
         found = found.union(more)
-    labels = materialise(components(found).select(F.col("node").alias("cls"), F.col("root").alias("label")))
-    discard(*used, *links)
+    grouped = components(found)
+    labels = materialise(grouped.select(F.col("node").alias("cls"), F.col("root").alias("label")))
+    discard(*used, *links, grouped)
 
     out = rows.select("doc_id", "n_shingles", "cls")
     of_class = classes.select("cls", "first").join(labels, "cls", "left")
@@ -242,4 +245,6 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
     of_class = of_class.join(smallest, "label", "left").select("cls", F.coalesce("label", "cls").alias("label"), F.coalesce("least", "first").alias("component_id"))
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     out = out.join(of_class.hint("merge"), "cls", "left").select("doc_id", "n_shingles", "cls", "label", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = materialise(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    discard(rows, classes, labels)
+    return out

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from strataflux.llm.bpe import byte_characters, tokenizer
-from strataflux.llm.common import bounded_batches, discard, materialise
+from strataflux.llm.common import bounded_batches, discard, lean, materialise
 
 #: Tokens in a sequence; documents in a partition; rounds of exchange, at most.
 CAPACITY, PARTITION, ROUNDS = 4096, 50_000, 4
@@ -114,7 +114,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY
                         rows.append((i, k, at // 4, len(own) // 4, zlib.crc32(own)))
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, PIECES)
+    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(lean(run), PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, materialise, mix, text_words, word_hashes
+from strataflux.llm.common import BROADCAST_IDS, bounded_batches, discard, lean, materialise, mix, text_words, word_hashes
 
 #: Words in a window, rounds, and words that a task holds at once.
 WINDOW, ROUNDS, BATCH_WORDS = 50, 4, 150_000
@@ -191,14 +191,14 @@ def repeats(docs: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_co
     A window of ``size`` words goes if it also starts in a text with a smaller id.
     """
     docs = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    marks = materialise(docs.where("doc_id is not null").mapInPandas(_marks(size), "name long, root long, doc_id long"))
+    marks = materialise(docs.where("doc_id is not null").mapInPandas(lean(_marks(size)), "name long, root long, doc_id long"))
     texts = marks.where("doc_id is not null").withColumnRenamed("name", "check")
     roots = materialise(texts.groupBy("root").agg(F.min("doc_id").alias("first")))
     shared = marks.where("doc_id is null").groupBy("name").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("name")
     named = materialise(marks.where("doc_id is null").select("name", "root").join(shared, "name").groupBy("root").agg(F.collect_set("name").alias("names")).join(roots, "root"))
     ids = materialise(named.select(F.col("first").alias("doc_id")).distinct())
     wanted = of_ids(docs, ids, ids.count(), "left_semi").join(named.withColumnRenamed("first", "doc_id"), "doc_id").select("root", "names", "text")
-    windows = materialise(wanted.mapInPandas(_windows(size), "window long, check long, root long, start int").join(roots, "root"))
+    windows = materialise(wanted.mapInPandas(lean(_windows(size)), "window long, check long, root long, start int").join(roots, "root"))
     earliest = windows.groupBy("window", "check").agg(F.min("first").alias("least"), F.max("first").alias("most")).where("least < most").select("window", "check", "least")
     starts = windows.join(earliest, ["window", "check"]).where("least < first").groupBy("root", "first").agg(F.collect_set("start").alias("starts"))
     earlier = texts.groupBy("root", "check").agg(F.min("doc_id").alias("before"))
