@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 pytest.importorskip("strataflux.llm")
@@ -79,6 +81,64 @@ def test_language(spark, table):
     assert got[101]["lang_pred"] == got[102]["lang_pred"] == "und" and got[102]["score"] == 0
 
 
+def plain_shares(model, text: str | None) -> dict[str, float]:
+    """Shares of the languages of a text, word by word and language by language."""
+    counts = Counter(regex.findall(r"\p{L}[\p{L}\p{M}]{0,23}", (text or "").lower()))
+    like = []
+    for w in counts:
+        padded, total = f"^{w}$", np.zeros(len(model.langs))
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            h = (ord(a) * 0x9E3779B1 ^ ord(b) * 0x85EBCA77 ^ ord(c) * 0xC2B2AE3D) & 0xFFFFFFFF
+            h = (h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+            total += model.logp[h >> 16]
+        like.append(np.exp(np.maximum(total - total.max(), -12)))
+
+    def em(on: list[int]) -> tuple[dict[int, float], float]:
+        pi = {k: 1 / len(on) for k in on}
+        for _ in range(langid.ROUNDS):
+            new = dict.fromkeys(on, 0.0)
+            for n, x in zip(counts.values(), like):
+                whole = sum(pi[k] * x[k] for k in on)
+                for k in on:
+                    new[k] += n * pi[k] * x[k] / whole
+            pi = {k: v / counts.total() for k, v in new.items()}
+        return pi, sum(n * np.log(sum(pi[k] * x[k] for k in on)) for n, x in zip(counts.values(), like))
+
+    if not counts or not model.langs:
+        return {}
+    on = list(range(len(model.langs)))
+    pi, best = em(on)
+    while len(on) > 1:
+        fewer = [k for k in on if k != min(on, key=lambda j: pi[j])]
+        p, ll = em(fewer)
+        if ll < best - langid.PENALTY * np.log(max(counts.total(), 2)):
+            break
+        on, pi, best = fewer, p, ll
+    return {model.langs[k]: v for k, v in pi.items()}
+
+
+def test_language_equals_brute_force(spark):
+    """Odd, long, repeated and mixed texts, with columns named like the results."""
+    r = random.Random(11)
+    words = {x: ["".join(r.choices(letters, k=r.randint(2, 7))) for _ in range(60)] for x, letters in {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "opqrstuü"}.items()}
+    mixed = [(x, " ".join(r.choices(words[x], k=r.randint(1, 60)) + r.choices(words[r.choice("abc") * 2], k=r.choice([0, 0, 1, 4, 30])))) for x in r.choices(list(words), k=120)]
+    rows = [(k, t, x, 1, "c") for k, (x, t) in enumerate(mixed)] + [(500, None, "aa", 1, "c"), (501, "", "aa", 1, "c"), (502, "12 \u0301 !", "aa", 1, "c"), (503, " ".join(words["bb"]) * 300, None, 1, "c"), (0, mixed[0][1], None, 1, "c"), (None, mixed[1][1], None, 1, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, lang_pred string")
+    model = langid.fit(df, F.col("doc_id") < 100)
+    assert model.langs == ["aa", "bb", "cc"]
+    out = langid.identify(df, model)
+    assert out.columns == ["doc_id", "text", "lang", "score", "lang_pred", "lang_shares"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    for x in got:
+        want = plain_shares(model, x["text"])
+        top = max(want.values(), default=0)
+        assert (x["lang_pred"] == "und") == (not want) and x["score"] == pytest.approx(top, abs=2e-3)
+        assert not want or want[x["lang_pred"]] == pytest.approx(top, abs=2e-3)
+    none = langid.identify(df, langid.fit(df, F.lit(False)))
+    assert {x["lang_pred"] for x in none.collect()} == {"und"}
+
+
 def test_language_sets_equal_plain_elimination():
     """Few words of a second language, worth more than its cost but less than the costs of all other languages; and random texts."""
     few = np.full((195, 4), 1e-3, np.float32)
@@ -304,6 +364,29 @@ def test_neighbours(spark):
     assert hits >= 0.9 * 20 * 15 and set(got.query_id) == set(range(0, 300, 20))
 
 
+def test_recall_and_axes(spark):
+    """On the tables of test data: recall against brute force, and more axes where neighbours are nearer."""
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no tables")
+    rows = spark.read.parquet(path).select("vec_id", "embedding").toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy()).astype(float)
+    got = queries.op7_nearest_neighbours(spark, "/root/testdata/sf0.1").toPandas()
+    hits = asked = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(ids[np.argsort(-s, kind="stable")[:20]]) & set(got.vec_id[got.query_id == ids[q]]))
+        asked += 20
+    assert hits >= 0.9 * asked
+    r = np.random.default_rng(2)
+    for spread, least, most in ((30.0, 16, 128), (0.05, 256, 1024)):
+        v = np.repeat(r.normal(size=(60, 64)), 25, axis=0) + spread * r.normal(size=(1500, 64))
+        v /= np.sqrt((v * v).sum(1, keepdims=True))
+        df = spark.createDataFrame([(k, [float(c) for c in y]) for k, y in enumerate(v)], "id long, v array<double>")
+        assert least <= ann.fitted_axes(df, df.where("id % 20 = 0"), 20, ann.TABLES, ann.PROBES, 1.0) <= most
+
+
 def test_licenses(spark):
     notice = licenses.TEMPLATES["GPL-3.0-notice"]
     rows = [(1, f"é words before. {notice} And after."), (2, "This work is licensed to no one under the sun"), (3, None), (4, "Intro. This work is licensed under the GNU General Publik License, version 3 too")]
