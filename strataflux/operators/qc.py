@@ -29,7 +29,7 @@ def date_coherence(phases: DataFrame, keys: list[str], phase: str) -> DataFrame:
     return phases.groupBy(*keys).agg(F.count("*").alias("n"), F.hypot(F.avg(F.cos(phase)), F.avg(F.sin(phase))).alias("gamma"))
 
 
-def keep_dates(dates: DataFrame, keys: list[str], master: Column, bmax: float = 200.0, gmin: float = 0.95) -> DataFrame:
+def keep_dates(dates: DataFrame, keys: list[str], master: Column, bmax: float = 200.0, gmin: float | Column = 0.95) -> DataFrame:
     """Dates whose baseline and coherence hold, and the master; adds the master of each key, the first kept date if the master is missing."""
     ok = (F.abs(F.coalesce(F.col("bperp"), F.lit(0.0))) <= bmax) & (F.col("gamma") >= gmin)
     kept = dates.where(ok | (F.col("date") == master))
@@ -37,6 +37,17 @@ def keep_dates(dates: DataFrame, keys: list[str], master: Column, bmax: float =
     return kept.withColumn("master", F.coalesce(F.max(F.when(F.col("date") == master, F.col("date"))).over(w), F.min("date").over(w)))
 
 
+def rung_value(rung: Column, ladder: tuple[float, ...] = LADDER) -> Column:
+    """The coherence that a rung of the ladder asks of points, and of dates."""
+    return F.element_at(F.array(*map(F.lit, ladder)), rung + 1)
+
+
+def date_summary(dates: DataFrame, keys: list[str], bmax: float = 200.0, gmin: float | Column = 0.95) -> DataFrame:
+    """keys, n_dates, n_kept, drop_bperp, drop_refcoh and refcoh_median of dates with bperp (missing is 0) and gamma."""
+    far, loose = F.abs(F.coalesce(F.col("bperp"), F.lit(0.0))) > bmax, F.col("gamma") < gmin
+    return dates.groupBy(*keys).agg(F.count("*").alias("n_dates"), F.count_if(~far & ~loose).alias("n_kept"), F.count_if(far).alias("drop_bperp"), F.count_if(loose).alias("drop_refcoh"), F.median("gamma").alias("refcoh_median"))
+
+
 def rereference(series: DataFrame, keys: list[str], point: str, date: str, value: str, near: str, master: Column, least: int = 3) -> DataFrame:
     """Series less the mean of the reference points of each date (with ``least`` of them), then less their own value at the master."""
     w = Window.partitionBy(*keys, date)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strataflux.functions import regress
 from strataflux.functions.expr import status_label
-from strataflux.operators import history, judge, results, structures, timeline
+from strataflux.operators import history, judge, qc, results, structures, timeline
 from strataflux.plans.queries import SEASONAL_SQL, observations, obs_sql, query, table
 from strataflux.sources import search
 
@@ -263,3 +263,32 @@ def deck_sources(spark, sf_dir):
 def point_stability(spark, sf_dir):
     """Deviation of each series about its trend."""
     return regress.stability(observations(spark, sf_dir), ["bridge"], "y").select("bridge", F.round("stability", 4).alias("stability"))
+
+
+_LADDER = "[0.95, 0.92, 0.90, 0.85, 0.80]"
+
+
+@query(
+    f"""WITH p AS (SELECT s_suppkey AS id, s_nationkey % 5 AS tile, s_suppkey * 7919 % 3000 - 1500.0 AS x, s_suppkey * 104729 % 3000 - 1500.0 AS y, (s_suppkey * 31 % 100) / 100 AS coh FROM supplier),
+  v AS (SELECT c_custkey * 6151 % 3000 - 1500.0 AS x, c_custkey * 3571 % 3000 - 1500.0 AS y FROM customer),
+  f AS (SELECT *, CASE WHEN coh >= 0.95 THEN 0 WHEN coh >= 0.92 THEN 1 WHEN coh >= 0.90 THEN 2 WHEN coh >= 0.85 THEN 3 ELSE 4 END AS r FROM p WHERE coh >= 0.8 AND sqrt(x * x + y * y) <= 1500 AND NOT EXISTS (SELECT 1 FROM v WHERE sqrt((p.x - v.x) ** 2 + (p.y - v.y) ** 2) <= 20)),
+  g AS (SELECT tile, min(r) AS rung, {_LADDER}[min(r) + 1]::DOUBLE AS cmin FROM f GROUP BY tile), c AS (SELECT f.* FROM f JOIN g USING (tile) WHERE coh >= cmin),
+  e AS (SELECT a.tile, a.id, count(*) AS n, avg(b.coh) AS m FROM c a JOIN c b ON a.tile = b.tile AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= 900 GROUP BY ALL),
+  best AS (SELECT tile, id AS centre, n AS n_cluster, m FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, round(m, 9) DESC, id) AS k FROM e) WHERE k = 1),
+  d AS (SELECT s_nationkey % 5 AS tile, date_trunc('month', l_shipdate) AS d, sqrt(avg(cos(l_quantity / 60)) ** 2 + avg(sin(l_quantity / 60)) ** 2) + 0.02 AS gamma FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL),
+  b AS (SELECT d.*, (year(d) * 37 + month(d) * 101) % 460 - 230 AS bperp, cmin FROM d JOIN g USING (tile))
+SELECT tile, g.rung, centre, n_cluster, round(m, 6) AS coh_mean, n_dates, n_kept, drop_bperp, drop_refcoh, round(refcoh_median, 6) AS refcoh_median FROM best JOIN g USING (tile) JOIN (SELECT tile, count(*) AS n_dates,
+  count(*) FILTER (abs(bperp) <= 200 AND gamma >= cmin) AS n_kept, count(*) FILTER (abs(bperp) > 200) AS drop_bperp, count(*) FILTER (gamma < cmin) AS drop_refcoh, median(gamma) AS refcoh_median FROM b GROUP BY tile) USING (tile)"""
+)
+def qc_ladder(spark, sf_dir):
+    """The reference cluster of each tile at the first rung that has one, and the dates that this rung keeps."""
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    s = table(spark, sf_dir, "supplier")
+    p = s.select(k.alias("id"), (F.col("s_nationkey") % 5).alias("tile"), (k * 7919 % 3000 - 1500.0).alias("x"), (k * 104729 % 3000 - 1500.0).alias("y"), (k * 31 % 100 / 100).alias("coh"))
+    v = table(spark, sf_dir, "customer").select((c * 6151 % 3000 - 1500.0).alias("x"), (c * 3571 % 3000 - 1500.0).alias("y"))
+    cluster = qc.reference_cluster(p, v, ["tile"], "id", "coh", (0.0, 1500.0), away=20.0, radius=900.0)
+    phases = table(spark, sf_dir, "lineitem").join(s, F.col("l_suppkey") == k).select((F.col("s_nationkey") % 5).alias("tile"), F.trunc("l_shipdate", "month").alias("d"), (F.col("l_quantity") / 60).alias("phase"))
+    dates = qc.date_coherence(phases, ["tile", "d"], "phase").withColumns({"gamma": F.col("gamma") + 0.02, "bperp": (F.year("d") * 37 + F.month("d") * 101) % 460 - 230})
+    dates = dates.join(cluster.select("tile", qc.rung_value(F.col("rung")).alias("cmin")), "tile")
+    out = cluster.join(qc.date_summary(dates, ["tile"], gmin=F.col("cmin")), "tile")
+    return out.select("tile", "rung", "centre", "n_cluster", F.round("coh_mean", 6).alias("coh_mean"), "n_dates", "n_kept", "drop_bperp", "drop_refcoh", F.round("refcoh_median", 6).alias("refcoh_median"))
