@@ -37,7 +37,8 @@ COPIES = 2 / 3
 _PAGE = 0
 #: Parts into which the pages of a host are dealt where its template is too large to be sent to all tasks.
 SALT = 16
-_TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|title|select|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
+#: A quoted value ends before the next element or within 4,096 characters, so that an odd quote costs no search to the page's end.
+_TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|title|select|object|canvas)\b(?:[^>\"']|\"[^\"<]*(?:\"|<[^\"]{0,4096}\")|'[^'<]*(?:'|<[^']{0,4096}'))*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"<]*(?:\"|<[^\"]{0,4096}\")|'[^'<]*(?:'|<[^']{0,4096}'))*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
 _ATTRIBUTES = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt s samp small span strike strong sub sup time tt u var wbr".split())

@@ -209,6 +209,17 @@ def test_html():
     assert html.main_text(html.Page(""), []) == ""
 
 
+def test_html_odd_quotes_and_columns(spark):
+    """Odd quotes end soon, whatever follows; quoted elements are text of no block; repeated rows and columns named like intermediate ones."""
+    assert html.main_text(html.Page("<a " + 'x="1" ' * 40), []) == "<a " + ('x="1" ' * 40).strip()
+    assert html.main_text(html.Page('<p class="a>' * 5000 + "</p>"), []) == ""
+    assert html.main_text(html.Page("<p title='x<b>y'>text</p><img src=\"data:" + "A" * 9000 + '"><p>after</p>'), []) == "text after"
+    rows = [(1, "http://h/", "<p>" + "word " * 200000 + "</p>", "x", 2, "y")] * 2 + [(None, None, "", None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, template int, text string")
+    out = html.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_chars"] and sorted(r["n_chars"] for r in out.collect()) == [0, 999999, 999999]
+
+
 def test_html_keeps_all_slots():
     """Pages without an article element: mostly lists, mostly a table, a longer nested section."""
     for inner, want in [
