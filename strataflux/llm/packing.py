@@ -32,8 +32,9 @@ MEMORY = 300_000
 _plain = re.compile("(?!.*<\\|)[\0-\u012f\u0131-\u024f]*\\Z", re.S).match
 #: Python splits at these as well, the tokenizer does not.
 _splits = re.compile("[\x1c-\x1f]").search
-#: The pre-tokenizer's pattern, a fixed value of the vocabulary file, for lower-cased plain text.
-_LETTERS, _NUMBERS = ("".join(c for c in map(chr, [*range(0x250), 0x2C65, 0x2C66]) if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}"))
+#: The pre-tokenizer's pattern, a fixed value of the vocabulary file, for lower-cased plain text, whose letters may lie above U+024F.
+_LOWERED = sorted(set(map(chr, range(0x250))).union(*(chr(c).lower() for c in range(0x250))))
+_LETTERS, _NUMBERS = ("".join(c for c in _LOWERED if regex.match(kind, c)) for kind in (r"\p{L}", r"\p{N}"))
 _cuts = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+").findall
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -323,6 +323,17 @@ def test_bpe_and_packing(spark, table):
         assert own["offset"].tolist() == np.append(0, own["length"].cumsum())[:-1].tolist() and own["length"].sum() <= 4096
 
 
+def test_letters_whose_lower_case_lies_above_the_plain_range():
+    """Every character below U+0250 beside others, and random strings of them, have the library's ids."""
+    own = packing.Ids(queries.vocabulary("word_bpe_49k.json"))
+    chars, r = [chr(c) for c in range(0x250)], random.Random(1)
+    pool = chars + [" "] * 60 + list("abcdefghij'") * 6 + ["\u65e5", "\u00e9", "\u0301"]
+    texts = [x for c in chars for x in (c + "a", "a" + c, c + "\u018f", "\u018f" + c, "1" + c, "'" + c)]
+    texts += ["".join(r.choices(pool, k=r.randint(1, 12))) for _ in range(20_000)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(own.of(texts)) == want
+
+
 def test_bounds_never_exceed_packings():
     r = np.random.default_rng(4)
     for _ in range(60):
