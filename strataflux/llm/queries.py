@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import ann, bpe, html, langid, licenses, linededup, neardup, packing, quality, substrings
+from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +79,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.apply(docs, linededup.repeated_lines(docs)).select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document or so is tampered with: its capitals A-Z are lowered."""
+    docs = _table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    given = merkle.digest([lowered if c == "text" else F.col(c) for c in merkle.FIELDS])
+    return merkle.manifest(docs, F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, given))
+
+
 OP2_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
