@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, quality, substrings
+from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, prefixes, quality, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.apply(docs, linededup.repeated_lines(docs)).select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), heads=True)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fifth document or so is tampered with: its capitals A-Z are lowered."""
     docs = _table(spark, sf_dir, "documents").select(*merkle.FIELDS)

@@ -61,6 +61,7 @@ def empty(spark, tmp_path_factory):
     spark.createDataFrame([], DOCS).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{d}/embeddings.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     return str(d)
 
 
