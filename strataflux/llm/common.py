@@ -108,8 +108,13 @@ def discard(*frames: DataFrame | None) -> None:
             spark = df.sparkSession
             if name := getattr(df, "strataflux_table", None):
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def text_words(text: str | None) -> list[bytes]:

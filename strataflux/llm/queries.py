@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, prefixes, quality, substrings
+from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, prefixes, quality, substrings, warc
+from strataflux.llm.common import materialise, remove, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.apply(docs, linededup.repeated_lines(docs)).select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    with warc.pushdown(spark):
+        out = materialise(warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), path))
+    remove(spark, path)
+    return out
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), heads=True)
 
