@@ -5,7 +5,7 @@
    in the same way. Levels are built by one grouping each, of a sixteenth of the rows before.
 2. Every node but the root is stored as a row linked to its parent, with the digests of its siblings to the left and right.
 3. A recursive query starts at the leaves, which a row carries by runs of 16, and joins node rows until the root: it appends
-   the siblings of each level to the proof, which leaves of a run share, and folds every leaf's given digest with them.
+   the siblings of each level to the proof, which leaves of a run share, and folds every leaf's given digest with them. Digests travel as bytes.
 
 Nodes high up are met by many runs; their rows are stored in copies, one for some thousand leaves, and runs are dealt over them.
 
@@ -70,7 +70,7 @@ def _edges(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     kid = up.select("*", F.posexplode("kids").alias("k", "kid"))
     edges = kid.select(
         "kid.tree", "kid.level", "kid.idx", "kid.leaves", F.col("up_tree").alias("p_tree"), "p_level", "p_idx", "p_hash", "p_leaves",
-        _joined(F.slice("kids.hash", 1, F.col("k"))).alias("before"), _joined(F.slice("kids.hash", F.col("k") + 2, F.lit(ARITY))).alias("after"),
+        F.unhex(_joined(F.slice("kids.hash", 1, F.col("k")))).alias("before"), F.unhex(_joined(F.slice("kids.hash", F.col("k") + 2, F.lit(ARITY)))).alias("after"),
     )
     parents = up.select(
         F.col("up_tree").alias("tree"), F.col("p_level").alias("level"), F.col("p_idx").alias("idx"), "up_tree", (F.col("p_level") + 1).alias("up_level"), F.col("p_idx").alias("at"),
@@ -108,7 +108,7 @@ def manifest(docs: DataFrame, given: Column, fields: tuple[str, ...] = FIELDS, i
 
     def fold(k: Column, i: Column) -> Column:
         value = F.when(lone, k["given"]).otherwise(F.sha2(F.concat(_joined(F.slice(hashes, 1, i)), k["given"], _joined(F.slice(hashes, i + 2, F.lit(ARITY)))), 256))
-        return F.struct(k["doc_id"].alias("doc_id"), k["leaf"].alias("leaf"), value.alias("folded"))
+        return F.struct(k["doc_id"].alias("doc_id"), F.unhex(k["leaf"]).alias("leaf"), F.unhex(value).alias("folded"))
 
     runs = materialise(
         runs.select(
@@ -135,27 +135,28 @@ def manifest(docs: DataFrame, given: Column, fields: tuple[str, ...] = FIELDS, i
     if links:
         edges = reduce(DataFrame.unionByName, links).select("*", copies("p_leaves").alias("p_copies"), F.explode(F.sequence(F.lit(0).cast("long"), copies("leaves") - 1)).alias("copy"))
     else:
-        edges = spark.createDataFrame([], "tree string, level int, idx long, p_tree string, p_level int, p_idx long, p_hash string, p_copies long, before string, after string, copy long")
+        edges = spark.createDataFrame([], "tree string, level int, idx long, p_tree string, p_level int, p_idx long, p_hash string, p_copies long, before binary, after binary, copy long")
     names = {k: f"strataflux_{k}_{uuid.uuid4().hex}" for k in ("runs", "edges")}
     runs.withColumn("copies", F.ceil(F.size("folds") / COPY_LEAVES)).createOrReplaceTempView(names["runs"])
     edges.createOrReplaceTempView(names["edges"])
     climbed = spark.sql(f"""
         WITH RECURSIVE climb AS (
-          SELECT tree, level, run AS idx, copies, run, hash, CAST(NULL AS STRING) AS subroot, '' AS proof, folds FROM {names["runs"]}
+          SELECT tree, level, run AS idx, copies, run, hash, CAST(NULL AS STRING) AS subroot, X'' AS proof, folds FROM {names["runs"]}
           UNION ALL
           SELECT e.p_tree, e.p_level, e.p_idx, e.p_copies, c.run, e.p_hash, CASE WHEN e.p_tree = '' AND c.tree <> '' THEN c.hash ELSE c.subroot END,
-            concat(c.proof, e.before, e.after), transform(c.folds, f -> named_struct('doc_id', f.doc_id, 'leaf', f.leaf, 'folded', sha2(concat(e.before, f.folded, e.after), 256)))
+            concat(c.proof, e.before, e.after), transform(c.folds, f -> named_struct('doc_id', f.doc_id, 'leaf', f.leaf, 'folded', unhex(sha2(lower(concat(hex(e.before), hex(f.folded), hex(e.after))), 256))))
           FROM climb c JOIN {names["edges"]} e ON c.tree = e.tree AND c.level = e.level AND c.idx = e.idx AND pmod(c.run, c.copies) = e.copy
         )
         SELECT coalesce(subroot, hash) AS subroot, proof, folds FROM climb WHERE tree = '{{0}}' AND level = {root["level"]} AND idx = {root["idx"]}
     """.replace("'{0}'", ":tree"), args={"tree": root["tree"]})
     each = climbed.select("subroot", "proof", F.col("folds.leaf").alias("leaves"), F.posexplode("folds").alias("k", "fold"))
-    own = F.concat(_joined(F.slice("leaves", 1, F.col("k"))), _joined(F.slice("leaves", F.col("k") + 2, F.lit(ARITY))))
+    shown = lambda c: F.lower(F.hex(c))
+    others = F.transform(F.concat(F.slice("leaves", 1, F.col("k")), F.slice("leaves", F.col("k") + 2, F.lit(ARITY))), shown)
     with unlimited_recursion(spark):
         out = materialise(
             each.select(
-                "fold.doc_id", "fold.leaf", "subroot", F.lit(root["hash"]).alias("root"), F.sha2(F.concat(own, "proof"), 256).alias("proof_sha256"),
-                F.col("fold.folded").alias("folded_root"), (F.col("fold.folded") == root["hash"]).alias("verified"),
+                "fold.doc_id", shown("fold.leaf").alias("leaf"), "subroot", F.lit(root["hash"]).alias("root"), F.sha2(F.concat(_joined(others), shown("proof")), 256).alias("proof_sha256"),
+                shown("fold.folded").alias("folded_root"), (shown("fold.folded") == root["hash"]).alias("verified"),
             )
         )
     for name in names.values():
