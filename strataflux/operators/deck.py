@@ -62,7 +62,9 @@ def zone_series(nodes: DataFrame, keys: list[str], zone: str, date: str, value:
 
 
 def segment_of(s: Column, half: Column, length: float = 15.0) -> Column:
-    return F.floor((s + half) / length).cast("int")
+    """Number of the segment, from 0; null at the very end of a deck of whole segments, as segments begin before it only."""
+    k = F.floor((s + half) / length)
+    return F.when(k * length < 2 * half, k).cast("int")
 
 
 def supports(decks: DataFrame, half: Column, span: Column) -> DataFrame:

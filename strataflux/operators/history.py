@@ -35,9 +35,9 @@ def changes(judgements: DataFrame, cycles: DataFrame) -> DataFrame:
 
 
 def known_structures(results: DataFrame, structures: DataFrame) -> DataFrame:
-    """Results of structures that are still registered: by id, else by name and place to four decimals. Adds the registered id."""
+    """Results of structures that are still registered: by id, else by name and place to four decimals, of equal ones the last id. Adds the registered id."""
     place = lambda df: [F.round(df[c], 4) for c in ("lat", "lon")]
-    named = structures.select(F.col("bridge").alias("_id"), F.col("name").alias("_n"), *(c.alias(k) for c, k in zip(place(structures), ("_lat", "_lon")))).dropDuplicates(["_n", "_lat", "_lon"])
+    named = structures.groupBy(F.col("name").alias("_n"), *(c.alias(k) for c, k in zip(place(structures), ("_lat", "_lon")))).agg(F.max("bridge").alias("_id"))
     own = results.join(structures.select("bridge"), "bridge", "left_semi")
     rest = results.join(structures.select("bridge"), "bridge", "left_anti")
     lat, lon = place(rest)

@@ -60,7 +60,8 @@ def review(level: Column, n_points: Column, cover: Column, has_ring: Column, unc
 
 
 def indicators(segments: DataFrame, keys: list[str], segment: str) -> DataFrame:
-    """keys and for V, ACC, DIFF, CUM a value and its grade: -1 without a value, 0 if not significant. Segments have v, acc, v_thr, acc_thr, years and sigma.
+    """keys and for V, ACC, DIFF, CUM a value and its grade: -1 without a value, 0 if not significant. Segments have v, acc, v_thr, years, sigma, and
+    v_is_sig and acc_is_sig, which were told from values not yet rounded.
 
     The value is the largest of the significant segments, and of all where none is; the first segment of equal ones. DIFF, which has
     one limit for a structure, is 0 where no two segments are adjacent and null for a single one.
@@ -69,7 +70,7 @@ def indicators(segments: DataFrame, keys: list[str], segment: str) -> DataFrame:
     adjacent = F.lead(segment).over(w) == F.col(segment) + 1
     limit = F.coalesce(2 * 2**0.5 * F.col("sigma"), 2 * 2**0.5 * F.max("v_thr").over(Window.partitionBy(*keys)) / 2)
     df = segments.withColumns({"DIFF": F.when(adjacent, F.abs(F.lead("v").over(w) - F.col("v"))), "_d_thr": limit, "V": F.abs("v"), "ACC": F.abs("acc"), "CUM": F.abs("v") * F.col("years")})
-    tests = {"V": F.col("V") > F.col("v_thr"), "ACC": F.col("ACC") > F.col("acc_thr"), "DIFF": F.col("DIFF") > F.col("_d_thr"), "CUM": F.col("V") > F.col("v_thr")}
+    tests = {"V": F.col("v_is_sig"), "ACC": F.col("acc_is_sig"), "DIFF": F.col("DIFF") > F.col("_d_thr"), "CUM": F.col("v_is_sig")}
     best = df.groupBy(*keys).agg(*(F.max(F.when(F.col(k).isNotNull(), F.struct(F.coalesce(t, F.lit(False)).alias("sig"), F.col(k).alias("x"), (-F.col(segment)).alias("o")))).alias(k) for k, t in tests.items()), F.count("*").alias("_n"))
     none = F.struct(F.lit(False).alias("sig"), F.lit(0.0).alias("x"), F.lit(0).cast(df.schema[segment].dataType).alias("o"))
     best = best.withColumn("DIFF", F.coalesce("DIFF", F.when(F.col("_n") > 1, none)))
@@ -88,7 +89,7 @@ def unjudged(structures: DataFrame, reason: Column) -> DataFrame:
 def proxy(ends: DataFrame, ring: DataFrame, keys: list[str], years: Column, length: Column, thresholds: tuple[float, float, float] | Column, criteria: Criteria = Criteria(), beta_allow: float | Column = 0.002) -> DataFrame:
     """Judgement from the ground at both ends (keys, end, v, se) against the ring (keys, n_ring, sigma) where the deck has no points."""
     j = ends.join(ring.where(F.col("n_ring") >= 5), keys)
-    z = significant(j)
+    z = significant(j).withColumn("v", F.round("v", 2))  # significance is told before rounding
     z = displacement(z, years, criteria)
     both = F.count("*") == 2
     tilt = lambda t: F.when(both & F.bool_or("sig"), (F.max("v") - F.min("v")) * F.max(t) / 1000 / F.greatest(F.max(length), F.lit(1.0))).otherwise(0.0)

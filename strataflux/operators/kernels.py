@@ -67,12 +67,13 @@ def usable(count: Column, most: Column, height: Column, lat: Column, lon: Column
     return (count >= F.floor(most * 0.8)) & (height > -100) & (height < 9000) & (F.abs(lat) > 0.001) & (F.abs(lon) > 0.001) & (da > 0)
 
 
-def candidates(pixels: DataFrame, da: str, standard: float = 0.42, least: int = 1500, percent: float = 0.12, most: float = 0.70) -> DataFrame:
-    """Pixels below the standard dispersion; if these are too few, the best share of all, up to ``most``."""
+def candidates(pixels: DataFrame, da: str, standard: float = 0.4, least: int = 1500, percent: float = 0.12, most: float = 0.70, ok: Column | None = None) -> DataFrame:
+    """Pixels below the standard dispersion; if these are too few, the best share of all, up to ``most``. Only pixels that are ``ok`` (see :func:`usable`) count."""
+    pixels = pixels.where((F.col(da) > 0) & (F.lit(True) if ok is None else ok))
     limit = standard
     if pixels.where(F.col(da) < standard).count() < least:
         limit = min(most, quantile(pixels, da, percent) or most)
-    return pixels.where((F.col(da) > 0) & (F.col(da) < limit))
+    return pixels.where(F.col(da) < limit)
 
 
 def interferogram(slave_re: Column, slave_im: Column, master_re: Column, master_im: Column) -> Column:

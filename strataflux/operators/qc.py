@@ -49,12 +49,18 @@ def date_summary(dates: DataFrame, keys: list[str], bmax: float = 200.0, gmin: f
 
 
 def rereference(series: DataFrame, keys: list[str], point: str, date: str, value: str, near: str, master: Column, least: int = 3) -> DataFrame:
-    """Series less the mean of the reference points of each date (with ``least`` of them), then less their own value at the master."""
-    w = Window.partitionBy(*keys, date)
-    centred = F.col(value) - F.when(F.count(F.when(F.col(near), 1)).over(w) >= least, F.avg(F.when(F.col(near), F.col(value))).over(w)).otherwise(0.0)
-    out = series.withColumn("_c", centred)
-    own = Window.partitionBy(*keys, point)
-    return out.withColumn(value, F.col("_c") - F.max(F.when(F.col(date) == master, F.col("_c"))).over(own)).drop("_c")
+    """Series less the mean of the reference points of each date, then less their own value at the master; a chain with fewer than ``least`` reference points stays as it is.
+
+    Sums of the reference points by date are joined back, so no date or chain is gathered.
+    """
+    ref = series.where(F.col(near))
+    enough = ref.select(*keys, point).distinct().groupBy(*keys).agg((F.count("*") >= least).alias("_enough"))
+    middle = ref.groupBy(*keys, date).agg(F.avg(value).alias("_m"))
+    out = series.join(enough, keys, "left") if keys else series.crossJoin(F.broadcast(enough))  # without keys a row
+    out = out.join(middle, [*keys, date], "left").withColumn("_c", F.col(value) - F.col("_m"))
+    at_master = out.where(F.col(date) == master).groupBy(*keys, point).agg(F.max("_c").alias("_at"))
+    out = out.join(at_master, [*keys, point], "left")
+    return out.select(*(F.when(F.col("_enough"), F.col("_c") - F.col("_at")).otherwise(F.col(value)).alias(c) if c == value else c for c in series.columns))
 
 
 def rereference_baselines(pairs: DataFrame, keys: list[str], master: Column, ref: str = "ref", sec: str = "sec", b: str = "bperp") -> DataFrame:

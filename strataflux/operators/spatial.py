@@ -15,14 +15,14 @@ def _cell(x: Column, size: float) -> Column:
     return F.floor(x / size)
 
 
-def radius_join(a: DataFrame, b: DataFrame, radius: float, ax: str = "x", ay: str = "y", bx: str = "x", by: str = "y", how: str = "inner", on: list[str] | None = None) -> DataFrame:
-    """Pairs of a row of ``a`` and a row of ``b`` (renamed with suffix ``_b``) within ``radius``, with ``dist``; or semi and anti joins of ``a``."""
+def radius_join(a: DataFrame, b: DataFrame, radius: float, ax: str = "x", ay: str = "y", bx: str = "x", by: str = "y", how: str = "inner", on: list[str] | None = None, nearer: bool = False) -> DataFrame:
+    """Pairs of a row of ``a`` and a row of ``b`` (renamed with suffix ``_b``) within ``radius`` (or ``nearer``), with ``dist``; or semi and anti joins of ``a``."""
     right = b.select(*(F.col(c).alias(f"{c}_b") for c in b.columns))
     around = F.sequence(F.lit(-1), F.lit(1))
     right = right.withColumn("_i", F.explode(F.transform(around, lambda k: _cell(F.col(f"{bx}_b"), radius) + k))).withColumn("_j", F.explode(F.transform(around, lambda k: _cell(F.col(f"{by}_b"), radius) + k)))
     left = a.withColumn("_ci", _cell(F.col(ax), radius)).withColumn("_cj", _cell(F.col(ay), radius))
     near = F.hypot(left[ax] - right[f"{bx}_b"], left[ay] - right[f"{by}_b"])
-    condition = (left["_ci"] == right["_i"]) & (left["_cj"] == right["_j"]) & (near <= radius)
+    condition = (left["_ci"] == right["_i"]) & (left["_cj"] == right["_j"]) & (near < radius if nearer else near <= radius)
     for k in on or []:
         condition = condition & (left[k] == right[f"{k}_b"])
     out = left.join(right, condition, how)
@@ -32,8 +32,8 @@ def radius_join(a: DataFrame, b: DataFrame, radius: float, ax: str = "x", ay: st
 
 
 def avoid(points: DataFrame, vertices: DataFrame, radius: float, on: list[str] | None = None) -> DataFrame:
-    """Points with no vertex nearer than or at ``radius``."""
-    return radius_join(points, vertices, radius, how="left_anti", on=on)
+    """Points with no vertex nearer than ``radius``; those at the radius stay."""
+    return radius_join(points, vertices, radius, how="left_anti", on=on, nearer=True)
 
 
 def nearest_within(a: DataFrame, b: DataFrame, radius: float, key: str, other: str) -> DataFrame:

@@ -69,14 +69,19 @@ def node_table(placed: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def segments(nodes: DataFrame, surroundings: DataFrame, years: DataFrame) -> DataFrame:
-    """Velocity and acceleration of 15 m segments against the ring (bridge, v_med, v_sig, a_med, a_sig; nulls without one), with their limits."""
-    of = nodes.withColumn("segment", deck.segment_of(F.col("node_s"), F.col("len") / 2))
+    """Velocity and acceleration of 15 m segments against the ring (bridge, v_med, v_sig, a_med, a_sig; nulls without one), with their limits.
+
+    Whether they are significant (v_is_sig, acc_is_sig) is told before they are rounded for the report.
+    """
+    of = nodes.withColumn("segment", deck.segment_of(F.col("node_s"), F.col("len") / 2)).where("segment is not null")
     series = of.groupBy("bridge", "segment", "date", "t", "recent").agg(F.avg("yc").alias("y"))
     v = regress.velocity(series, ["bridge", "segment"], "y").join(halves(series, ["bridge", "segment"]), ["bridge", "segment"])
     v = v.join(surroundings, "bridge", "left").join(years, "bridge")
     limit = lambda scale, se: F.greatest(2 * F.coalesce(F.col(scale), F.lit(0.0)), 2 * F.col(se))
-    less = lambda x, m: F.round(F.col(x) - F.coalesce(F.col(m), F.lit(0.0)), 2)
-    return v.select("bridge", "segment", "years", F.col("v_sig").alias("sigma"), less("v", "v_med").alias("v"), less("acc", "a_med").alias("acc"), limit("v_sig", "se").alias("v_thr"), limit("a_sig", "acc_se").alias("acc_thr"))
+    less = lambda x, m: F.col(x) - F.coalesce(F.col(m), F.lit(0.0))
+    v = v.select("bridge", "segment", "years", F.col("v_sig").alias("sigma"), less("v", "v_med").alias("v"), less("acc", "a_med").alias("acc"), limit("v_sig", "se").alias("v_thr"), limit("a_sig", "acc_se").alias("acc_thr"))
+    v = v.withColumns({"v_is_sig": F.abs("v") > F.col("v_thr"), "acc_is_sig": F.abs("acc") > F.col("acc_thr")})
+    return v.withColumns({c: F.round(c, 2) for c in ("v", "acc", "v_thr", "acc_thr")})
 
 
 def zones(nodes: DataFrame, decks: DataFrame, ring_series: DataFrame, surroundings: DataFrame, years: DataFrame, date_cover: DataFrame) -> DataFrame:
@@ -102,7 +107,7 @@ def by_ends(placed: DataFrame, series: DataFrame, years: DataFrame, facts: DataF
     ends = series.join(placed.where("end is not null").select("tile", "point", "bridge", "end"), ["tile", "point"]).groupBy("bridge", "end", "date", "t").agg(F.median("y").alias("y"))
     ends = regress.velocity(ends.join(middle, ["bridge", "date"]).withColumn("y", F.col("y") - F.col("g")), ["bridge", "end"], "y").where("v is not null")
     keys = ["bridge", "cls", "beta_allow"]
-    ends = ends.join(facts.select(*keys), "bridge").select(*keys, "end", F.round("v", 2).alias("v"), "se")
+    ends = ends.join(facts.select(*keys), "bridge").select(*keys, "end", "v", "se")
     about = enough.join(scale, "bridge").join(years, "bridge").join(facts.select(*keys, "len"), "bridge")
     return judge.proxy(ends, about, keys, F.col("years"), F.col("len"), thresholds_of(F.col("cls"), criteria), criteria, F.col("beta_allow"))
 
@@ -184,11 +189,16 @@ def sources(placed: DataFrame, kinds: list[str]) -> DataFrame:
 
 
 def residual_scale(nodes: DataFrame) -> DataFrame:
-    """bridge, std_raw and std_corr: medians over nodes of the residuals' deviation about a trend, before and after the thermal correction."""
-    t = [F.lit(1.0), F.col("t")]
-    raw = regress.least_squares(nodes, ["bridge", "node"], "y", t).select("bridge", "node", F.col("rms").alias("raw"))
-    corrected = regress.least_squares(nodes, ["bridge", "node"], "yc", t).select("bridge", "node", F.col("rms").alias("corr"))
-    return raw.join(corrected, ["bridge", "node"]).groupBy("bridge").agg(F.median("raw").alias("std_raw"), F.median("corr").alias("std_corr"))
+    """bridge, std_raw and std_corr: medians over nodes of the deviation about the trend, before and after the thermal correction.
+
+    The trend of both is that of the fit with a temperature term, which is also the trend of the corrected series alone: the
+    deviation of y - v t follows from moments, as does that of the corrected series.
+    """
+    m = nodes.where("yc is not null and t is not null").groupBy("bridge", "node").agg(F.var_pop("y").alias("yy"), F.covar_pop("t", "y").alias("ty"), F.var_pop("yc").alias("cc"), F.covar_pop("t", "yc").alias("tc"), F.var_pop("t").alias("tt"))
+    v = F.coalesce(F.col("tc") / F.nullif(F.col("tt"), F.lit(0.0)), F.lit(0.0))
+    spread = lambda own, cross: F.sqrt(F.greatest(F.col(own) - 2 * v * F.col(cross) + v * v * F.col("tt"), F.lit(0.0)))
+    each = m.select("bridge", spread("yy", "ty").alias("raw"), spread("cc", "tc").alias("corr"))
+    return each.groupBy("bridge").agg(F.median("raw").alias("std_raw"), F.median("corr").alias("std_corr"))
 
 
 def structure_series(nodes: DataFrame, ring_series: DataFrame, incidence: Column) -> DataFrame:

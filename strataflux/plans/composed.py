@@ -86,13 +86,13 @@ JUDGED = (
     "nd AS (SELECT bridge, node, node_s, len, date, t, dtemp, recent, median(y) AS y FROM ob JOIN nd0 USING (tile, point) GROUP BY ALL), "
     f"kt AS (SELECT bridge, node, c_2 AS k FROM ({regress.ols_sql('nd', 'bridge, node', 'y', ['1.0', 't', 'dtemp'])})), "
     "nc AS (SELECT nd.*, y - coalesce(k * dtemp, 0) AS yc FROM nd JOIN kt USING (bridge, node)), "
-    "sg AS (SELECT bridge, floor((node_s + len / 2) / 15)::INT AS segment, date, t, recent, avg(yc) AS y FROM nc GROUP BY ALL), "
+    "sg AS (SELECT bridge, floor((node_s + len / 2) / 15)::INT AS segment, date, t, recent, avg(yc) AS y FROM nc WHERE floor((node_s + len / 2) / 15) * 15 - len / 2 < len / 2 GROUP BY ALL), "
     f"{_fit('sv', 'sg', 'bridge, segment')}, {_halves('sa', 'sg', 'bridge, segment')}, "
-    "sr AS (SELECT bridge, segment, years, v_sig, round(v - coalesce(v_med, 0), 2) AS v, round(acc - coalesce(a_med, 0), 2) AS acc, greatest(2 * coalesce(v_sig, 0), 2 * se) AS v_thr, greatest(2 * coalesce(a_sig, 0), 2 * acc_se) AS acc_thr "
+    "sr AS (SELECT bridge, segment, years, v_sig, round(v - coalesce(v_med, 0), 2) AS v, round(acc - coalesce(a_med, 0), 2) AS acc, round(greatest(2 * coalesce(v_sig, 0), 2 * se), 2) AS v_thr, abs(v - coalesce(v_med, 0)) > greatest(2 * coalesce(v_sig, 0), 2 * se) AS is_v, abs(acc - coalesce(a_med, 0)) > greatest(2 * coalesce(a_sig, 0), 2 * acc_se) AS is_a "
     "  FROM sv JOIN sa USING (bridge, segment) LEFT JOIN g USING (bridge) JOIN decks USING (bridge) JOIN axis USING (tile)), "
     "s2 AS (SELECT *, CASE WHEN lead(segment) OVER w = segment + 1 THEN abs(lead(v) OVER w - v) END AS diff, coalesce(2 * sqrt(2) * v_sig, sqrt(2) * max(v_thr) OVER (PARTITION BY bridge)) AS d_thr FROM sr WINDOW w AS (PARTITION BY bridge ORDER BY segment)), "
-    "ri AS (SELECT bridge, coalesce(max(abs(v)) FILTER (abs(v) > v_thr), max(abs(v))) AS V, count(*) FILTER (abs(v) > v_thr) > 0 AS sV, coalesce(max(abs(acc)) FILTER (abs(acc) > acc_thr), max(abs(acc))) AS ACC, "
-    "  count(*) FILTER (abs(acc) > acc_thr) > 0 AS sA, CASE WHEN count(*) > 1 THEN coalesce(max(diff), 0) END AS DIFF, coalesce(max(diff) > max(d_thr), false) AS sD, max(years) AS y FROM s2 GROUP BY bridge), "
+    "ri AS (SELECT bridge, coalesce(max(abs(v)) FILTER (is_v), max(abs(v))) AS V, count(*) FILTER (is_v) > 0 AS sV, coalesce(max(abs(acc)) FILTER (is_a), max(abs(acc))) AS ACC, "
+    "  count(*) FILTER (is_a) > 0 AS sA, CASE WHEN count(*) > 1 THEN coalesce(max(diff), 0) END AS DIFF, coalesce(max(diff) > max(d_thr), false) AS sD, max(years) AS y FROM s2 GROUP BY bridge), "
     "sup AS (SELECT tile, bridge, span, zone, CASE WHEN floor(len / span + 1e-9) >= 1 THEN zone * span - len / 2 WHEN zone = 0 THEN -len / 2 ELSE len / 2 END AS zone_s FROM (SELECT *, unnest(range(0, greatest(floor(len / span + 1e-9)::INT, 1) + 1)) AS zone FROM facts)), "
     "zs AS (SELECT bridge, zone, date, t, avg(yc) - coalesce(any_value(g), 0) AS yc, avg(y) - coalesce(any_value(g), 0) AS yr FROM nc JOIN sup USING (bridge) LEFT JOIN gts USING (bridge, date) WHERE abs(node_s - zone_s) <= greatest(4.5, span / 4) GROUP BY bridge, zone, date, t), "
     f"{_fit('zv', '(SELECT bridge, zone, t, yc AS y FROM zs)', 'bridge, zone')}, {_fit('zr', '(SELECT bridge, zone, t, yr AS y FROM zs)', 'bridge, zone')}, "
@@ -108,7 +108,7 @@ JUDGED = (
     f"{_fit('fv', 'fr', 'bridge, point')}, fs AS (SELECT bridge, mad(v) * 1.4826 AS sigma FROM fv GROUP BY bridge), fm AS (SELECT bridge, date, median(y) AS g FROM fr GROUP BY ALL), "
     "en AS (SELECT bridge, \"end\", t, m - g AS y FROM (SELECT bridge, \"end\", date, t, median(ob.y) AS m FROM ob JOIN placed USING (tile, point) WHERE \"end\" IS NOT NULL GROUP BY ALL) JOIN fm USING (bridge, date)), "
     f"{_fit('ev', 'en', 'bridge, \"end\"')}, "
-    "e2 AS (SELECT bridge, round(v, 2) AS v, abs(round(v, 2)) > greatest(2 * sigma, 2 * se) AS sig, years, len, cls FROM ev JOIN fs USING (bridge) JOIN decks USING (bridge) JOIN axis USING (tile) WHERE v IS NOT NULL), "
+    "e2 AS (SELECT bridge, round(v, 2) AS v, abs(v) > greatest(2 * sigma, 2 * se) AS sig, years, len, cls FROM ev JOIN fs USING (bridge) JOIN decks USING (bridge) JOIN axis USING (tile) WHERE v IS NOT NULL), "
     f"px AS (SELECT bridge, any_value({_THRESHOLDS}) AS th, max(CASE WHEN sig THEN abs(v) * years ELSE 0 END) AS d_now, max(CASE WHEN sig THEN abs(v) * (years + 10) ELSE 0 END) AS d_10y, "
     "  CASE WHEN count(*) = 2 AND bool_or(sig) THEN (max(v) - min(v)) * max(years) / 1000 / greatest(max(len), 1) ELSE 0 END AS b_now, CASE WHEN count(*) = 2 AND bool_or(sig) THEN (max(v) - min(v)) * (max(years) + 10) / 1000 / greatest(max(len), 1) ELSE 0 END AS b_10y FROM e2 GROUP BY bridge), "
     "al AS (SELECT bridge, th, d_now, d_10y, b_now, b_10y, r_lo, r_hi, thermal_mm, false AS proxy FROM zj UNION ALL SELECT bridge, th, d_now, d_10y, b_now, b_10y, NULL, NULL, NULL, true FROM px ANTI JOIN zj USING (bridge)), "
@@ -160,6 +160,17 @@ def risk_indicators(spark, sf_dir):
     return risk.select("bridge", *r("V"), *r("ACC"), *r("DIFF"), *r("CUM"))
 
 
+@query(
+    JUDGED.replace("SELECT bridge, node, c_2 AS k FROM", "SELECT bridge, node, c_1, c_2 AS k FROM")
+    + """, rs AS (SELECT bridge, node, stddev_pop(y - c_1 * t) AS raw FROM nd JOIN kt USING (bridge, node) GROUP BY ALL), cs AS (SELECT bridge, node, stddev_pop(yc - b * t) AS corr FROM nc JOIN (SELECT bridge, node, regr_slope(yc, t) AS b FROM nc GROUP BY ALL) USING (bridge, node) GROUP BY ALL)
+SELECT bridge, round(median(raw), 4) AS std_raw, round(median(corr), 4) AS std_corr FROM rs JOIN cs USING (bridge, node) GROUP BY bridge"""
+)
+def residual_scale(spark, sf_dir):
+    """Deviation of a deck's nodes about their trend, before and after the thermal correction."""
+    parts = structures.deck_parts(decks(spark, sf_dir), points(spark, sf_dir), series(spark, sf_dir))
+    return structures.residual_scale(parts.nodes).select("bridge", F.round("std_raw", 4).alias("std_raw"), F.round("std_corr", 4).alias("std_corr"))
+
+
 def series_kinds(spark, sf_dir) -> DataFrame:
     """bridge, date, los, vert and vert_tc of suppliers; every seventh month lacks the corrected value."""
     o = observations(spark, sf_dir).select("bridge", F.date_format("d", "yyyyMMdd").alias("date"), (F.col("y") * 0.0517).alias("vert"))
@@ -271,7 +282,7 @@ _LADDER = "[0.95, 0.92, 0.90, 0.85, 0.80]"
 @query(
     f"""WITH p AS (SELECT s_suppkey AS id, s_nationkey % 5 AS tile, s_suppkey * 7919 % 3000 - 1500.0 AS x, s_suppkey * 104729 % 3000 - 1500.0 AS y, (s_suppkey * 31 % 100) / 100 AS coh FROM supplier),
   v AS (SELECT c_custkey * 6151 % 3000 - 1500.0 AS x, c_custkey * 3571 % 3000 - 1500.0 AS y FROM customer),
-  f AS (SELECT *, CASE WHEN coh >= 0.95 THEN 0 WHEN coh >= 0.92 THEN 1 WHEN coh >= 0.90 THEN 2 WHEN coh >= 0.85 THEN 3 ELSE 4 END AS r FROM p WHERE coh >= 0.8 AND sqrt(x * x + y * y) <= 1500 AND NOT EXISTS (SELECT 1 FROM v WHERE sqrt((p.x - v.x) ** 2 + (p.y - v.y) ** 2) <= 20)),
+  f AS (SELECT *, CASE WHEN coh >= 0.95 THEN 0 WHEN coh >= 0.92 THEN 1 WHEN coh >= 0.90 THEN 2 WHEN coh >= 0.85 THEN 3 ELSE 4 END AS r FROM p WHERE coh >= 0.8 AND sqrt(x * x + y * y) <= 1500 AND NOT EXISTS (SELECT 1 FROM v WHERE sqrt((p.x - v.x) ** 2 + (p.y - v.y) ** 2) < 20)),
   g AS (SELECT tile, min(r) AS rung, {_LADDER}[min(r) + 1]::DOUBLE AS cmin FROM f GROUP BY tile), c AS (SELECT f.* FROM f JOIN g USING (tile) WHERE coh >= cmin),
   e AS (SELECT a.tile, a.id, count(*) AS n, avg(b.coh) AS m FROM c a JOIN c b ON a.tile = b.tile AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= 900 GROUP BY ALL),
   best AS (SELECT tile, id AS centre, n AS n_cluster, m FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, round(m, 9) DESC, id) AS k FROM e) WHERE k = 1),

@@ -235,7 +235,7 @@ def ref_cluster(spark, sf_dir):
     return spatial.densest_cluster(places(spark, sf_dir), 900.0, "id", "coh", ["tile"]).select("tile", "centre", "n_cluster", F.round("coh_mean", 6).alias("coh_mean"))
 
 
-@query(f"SELECT id FROM {PLACES_SQL} p WHERE NOT EXISTS (SELECT 1 FROM customer WHERE sqrt((p.x - c_custkey * 6151 % 3000) ** 2 + (p.y - c_custkey * 3571 % 3000) ** 2) <= 30)")
+@query(f"SELECT id FROM {PLACES_SQL} p WHERE NOT EXISTS (SELECT 1 FROM customer WHERE sqrt((p.x - c_custkey * 6151 % 3000) ** 2 + (p.y - c_custkey * 3571 % 3000) ** 2) < 30)")
 def avoid_anti(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 6151 % 3000).cast("double").alias("x"), (F.col("c_custkey") * 3571 % 3000).cast("double").alias("y"))
     return spatial.avoid(places(spark, sf_dir), c, 30.0).select("id")
@@ -285,9 +285,9 @@ def node_series(spark, sf_dir):
     return deck_nodes(spark, sf_dir).select("bridge", "node", F.col("d").cast("string").alias("d"), "y", "n_points")
 
 
-@query(f"SELECT bridge, CAST(floor(node * 3.0 / 15) AS INT) AS segment, CAST(d AS VARCHAR) AS d, round(avg(y), 4) AS y, count(*) AS n_nodes FROM {NODES_SQL} GROUP BY ALL")
+@query(f"SELECT bridge, CAST(floor(node * 3.0 / 15) AS INT) AS segment, CAST(d AS VARCHAR) AS d, round(avg(y), 4) AS y, count(*) AS n_nodes FROM {NODES_SQL} WHERE -30 + floor(node * 3.0 / 15) * 15 < 30 GROUP BY ALL")
 def zone_series(spark, sf_dir):
-    n = deck_nodes(spark, sf_dir).withColumn("segment", deck.segment_of(F.col("node") * 3.0 - 30, F.lit(30.0)))
+    n = deck_nodes(spark, sf_dir).withColumn("segment", deck.segment_of(F.col("node") * 3.0 - 30, F.lit(30.0))).where("segment is not null")
     return deck.zone_series(n, ["bridge"], "segment", "d").select("bridge", "segment", F.col("d").cast("string").alias("d"), F.round("y", 4).alias("y"), "n_nodes")
 
 
@@ -420,13 +420,19 @@ def amp_dispersion(spark, sf_dir):
     return kernels.amplitude_dispersion(li, ["pixel"], "amp").where("n > 1").select("pixel", "n", F.round("mean", 6).alias("mean"), F.round("da", 6).alias("da"))
 
 
-@query(f"WITH a AS (SELECT * FROM {AMP_SQL} WHERE n > 1), t AS (SELECT CASE WHEN count(*) FILTER (da < 0.42) < 1500 THEN least(0.70, quantile_cont(da, 0.12)) ELSE 0.42 END AS thr FROM a) SELECT pixel, round(da, 6) AS da FROM a, t WHERE da > 0 AND da < thr")
+@query(
+    f"""WITH a AS (SELECT * FROM {AMP_SQL} WHERE n > 1), g AS (SELECT * FROM a WHERE n >= floor(0.8 * (SELECT max(n) FROM a)) AND pixel * 37 % 9700 - 200 > -100 AND pixel * 37 % 9700 - 200 < 9000 AND pixel % 50 <> 0 AND da > 0),
+  t AS (SELECT CASE WHEN count(*) FILTER (da < 0.4) < 1500 THEN least(0.70, quantile_cont(da, 0.12)) ELSE 0.4 END AS thr FROM g) SELECT pixel, round(da, 6) AS da FROM g, t WHERE da < thr"""
+)
 def adaptive_da(spark, sf_dir):
     from strataflux.operators import kernels
 
     li = table(spark, sf_dir, "lineitem").where(F.month("l_shipdate").between(3, 11)).select(F.col("l_partkey").alias("pixel"), F.col("l_quantity").alias("amp"))
     a = kernels.amplitude_dispersion(li, ["pixel"], "amp").where("n > 1")
-    return kernels.candidates(a, "da", 0.42, 1500).select("pixel", F.round("da", 6).alias("da"))
+    most = a.agg(F.max("n")).head()[0] or 0
+    p = F.col("pixel")
+    ok = kernels.usable(F.col("n"), F.lit(most), p * 37 % 9700 - 200, p % 50, F.lit(128.0), F.col("da"))
+    return kernels.candidates(a, "da", 0.4, 1500, ok=ok).select("pixel", F.round("da", 6).alias("da"))
 
 
 @query(
@@ -441,8 +447,8 @@ def weak_queue(spark, sf_dir):
 
 
 @query(
-    f"""WITH s AS (SELECT bridge, d, y, row_number() OVER (PARTITION BY bridge ORDER BY d) AS k FROM {obs_sql()}), c AS (SELECT *, y - CASE WHEN count(*) FILTER (bridge % 10 = 0) OVER w >= 3 THEN avg(y) FILTER (bridge % 10 = 0) OVER w ELSE 0 END AS z FROM s WINDOW w AS (PARTITION BY d))
-SELECT bridge, CAST(d AS VARCHAR) AS d, round(z - max(z) FILTER (d = DATE '{MASTER}') OVER (PARTITION BY bridge), 4) AS y FROM c"""
+    f"""WITH s AS (SELECT bridge, d, y, row_number() OVER (PARTITION BY bridge ORDER BY d) AS k FROM {obs_sql()}), r AS (SELECT count(DISTINCT bridge) >= 3 AS enough FROM s WHERE bridge % 10 = 0), c AS (SELECT *, y - avg(y) FILTER (bridge % 10 = 0) OVER (PARTITION BY d) AS z FROM s)
+SELECT bridge, CAST(d AS VARCHAR) AS d, round(CASE WHEN enough THEN z - max(z) FILTER (d = DATE '{MASTER}') OVER (PARTITION BY bridge) ELSE y END, 4) AS y FROM c, r"""
 )
 def rereference_series(spark, sf_dir):
     o = observations(spark, sf_dir).withColumn("near", F.col("bridge") % 10 == 0)

@@ -92,7 +92,7 @@ def raster_properties(spark: SparkSession, path: str) -> DataFrame:
     return each.groupBy("file", "name").agg(F.max_by("value", "k").alias("value"))
 
 
-def headings(spark: SparkSession, path: str, default: float = -168.0) -> DataFrame:
+def headings(spark: SparkSession, path: str, default: float = -13.0) -> DataFrame:
     """file and heading in degrees from metadata that has an element or property of that name; else the default."""
     t = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     found = F.regexp_extract("value", r"(?is)heading[^>]*>(?:\s*<value>)?\s*(-?\d+(?:\.\d+)?)", 1)

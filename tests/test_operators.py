@@ -61,7 +61,7 @@ def test_radius_joins_equal_theta_joins(spark):
     d = np.hypot(*(a[:, None] - b[None]).transpose(2, 0, 1))
     make = lambda x: spark.createDataFrame([(i, float(p), float(q)) for i, (p, q) in enumerate(x)], "id int, x double, y double")
     assert rows(spatial.radius_join(make(a), make(b), 50.0), "id", "id_b") == sorted(zip(*map(list, np.nonzero(d <= 50)), strict=True))
-    assert [r[0] for r in rows(spatial.avoid(make(a), make(b), 50.0), "id")] == list(np.flatnonzero((d > 50).all(1)))
+    assert [r[0] for r in rows(spatial.avoid(make(a), make(b), 50.0), "id")] == list(np.flatnonzero((d >= 50).all(1)))
     near = {r["id"]: r["near_id"] for r in spatial.nearest_within(make(a), make(b), 40.0, "id", "id").collect()}
     assert near == {i: int(d[i].argmin()) for i in range(120) if d[i].min() <= 40}
 

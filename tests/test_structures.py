@@ -46,6 +46,7 @@ def test_baselines_keep_the_reference_and_prefer_straight_pairs(spark):
 def test_indicators_take_significant_segments_first(spark):
     rows = [(1, 0, 5.0, None, 9.0, None, 4.0, 1.0), (1, 1, 3.0, None, 1.0, None, 4.0, 1.0), (2, 0, 3.0, 1.0, 1.0, 2.0, 4.0, None), (3, 0, 1.0, 1.0, 0.5, 0.5, 4.0, 1.0), (3, 2, 9.0, 5.0, 20.0, 9.0, 4.0, 1.0)]
     df = spark.createDataFrame(rows, "bridge int, segment int, v double, acc double, v_thr double, acc_thr double, years double, sigma double")
+    df = df.withColumns({"v_is_sig": F.abs("v") > F.col("v_thr"), "acc_is_sig": F.abs("acc") > F.col("acc_thr")})
     got = {r["bridge"]: r for r in judge.indicators(df, ["bridge"], "segment").collect()}
     assert (got[1]["V"], got[1]["lv_V"], got[1]["CUM"], got[1]["lv_CUM"]) == (3.0, 2, 12.0, 1)
     assert (got[1]["lv_ACC"], got[1]["DIFF"], got[1]["lv_DIFF"]) == (-1, 2.0, 0)
@@ -190,7 +191,7 @@ def test_metadata_readers(spark, tmp_path):
     (tmp_path / "a.xml").write_text('<i><property name="WIDTH"><value>120</value></property><property name="width">\n <value> 7 </value></property><property name="data_type"><doc>x</doc><value>FLOAT</value></property></i>')
     (tmp_path / "b.xml").write_text("<r><heading>-12.5</heading></r>")
     assert {r["name"]: r["value"] for r in readers.raster_properties(spark, f"{tmp_path}/a.xml").collect()} == {"width": "7", "data_type": "FLOAT"}
-    assert {r["file"][-5:]: r["heading"] for r in readers.headings(spark, f"{tmp_path}/*.xml").collect()} == {"a.xml": -168.0, "b.xml": -12.5}
+    assert {r["file"][-5:]: r["heading"] for r in readers.headings(spark, f"{tmp_path}/*.xml").collect()} == {"a.xml": -13.0, "b.xml": -12.5}
 
 
 def test_linked_windows_equal_numpy(spark):
@@ -207,3 +208,49 @@ def test_linked_windows_equal_numpy(spark):
         if k in got:
             phases, gamma = kernels.linked_phases(z[like])
             assert got[k]["n_shp"] == like.sum() and np.allclose(got[k]["phases"], phases, atol=1e-5) and got[k]["ds"] == (gamma >= 0.6)
+
+
+def test_segments_end_before_the_deck_does(spark):
+    """A deck of 60 m has four segments; the node at its very end belongs to none."""
+    at = spark.createDataFrame([(float(s), 30.0) for s in range(-30, 31, 3)] + [(30.0, 31.0), (31.0, 31.0)], "s double, half double")
+    got = [r[0] for r in at.select(deck.segment_of(F.col("s"), F.col("half"))).collect()]
+    assert got[:20] == [k // 5 for k in range(20)] and got[20] is None and got[21:] == [4, 4]
+
+
+def test_few_reference_points_change_nothing(spark):
+    df = spark.createDataFrame([(p, d, v, p < 2) for p, d, v in [(0, 1, 5.0), (0, 2, 7.0), (1, 1, 1.0), (1, 2, 2.0), (3, 1, 3.0), (3, 2, None)]], "p int, d int, y double, near boolean")
+    same = qc.rereference(df, [], "p", "d", "y", "near", F.lit(1))
+    assert sorted(map(str, same.collect())) == sorted(map(str, df.collect()))
+    got = {(r["p"], r["d"]): r["y"] for r in qc.rereference(df, [], "p", "d", "y", "near", F.lit(1), least=2).collect()}
+    assert got == {(0, 1): 0.0, (0, 2): 0.5, (1, 1): 0.0, (1, 2): -0.5, (3, 1): 0.0, (3, 2): None}
+
+
+def test_significance_is_told_before_rounding(spark):
+    """A velocity that rounds to the limit but lies below it does not count."""
+    ends = spark.createDataFrame([(1, -1, 0.3965, 0.199), (1, 1, 0.0, 0.199)], "bridge int, end int, v double, se double")
+    ring = spark.createDataFrame([(1, 6, 0.1)], "bridge int, n_ring int, sigma double")
+    assert judge.proxy(ends, ring, ["bridge"], F.lit(5.0), F.lit(30.0), (0.3, 0.5, 0.7)).head()["D_now"] == 0.0
+
+
+def test_residual_scale_keeps_the_trend_of_the_thermal_fit(spark):
+    r = np.random.default_rng(2)
+    n = 40
+    t = np.arange(n) / 12.0
+    dtemp = np.cos(2 * np.pi * t) * 9 + r.normal(size=n)
+    rows, raw, corr = [], [], []
+    for node in range(5):
+        y = r.normal(size=n) + 0.4 * t + 0.3 * dtemp
+        c = np.linalg.lstsq(np.column_stack([np.ones(n), t, dtemp]), y, rcond=None)[0]
+        yc = y - c[2] * dtemp
+        raw.append(np.std(y - np.column_stack([np.ones(n), t]) @ c[:2]))
+        two = np.column_stack([np.ones(n), t])
+        corr.append(np.std(yc - two @ np.linalg.lstsq(two, yc, rcond=None)[0]))
+        rows += [(1, node, float(a), float(b), float(d)) for a, b, d in zip(t, y, yc)]
+    got = structures.residual_scale(spark.createDataFrame(rows, "bridge int, node int, t double, y double, yc double")).head()
+    assert got["std_raw"] == pytest.approx(np.median(raw)) and got["std_corr"] == pytest.approx(np.median(corr))
+
+
+def test_equal_names_take_the_last_id(spark):
+    reg = spark.createDataFrame([("r1", "A", 37.1, 128.5), ("r3", "A", 37.1, 128.5), ("r2", "A", 37.1, 128.5)], "bridge string, name string, lat double, lon double")
+    res = spark.createDataFrame([("old", "A", 37.1, 128.5, 1)], "bridge string, name string, lat double, lon double, level int")
+    assert [r["bridge"] for r in history.known_structures(res, reg).collect()] == ["r3"]
