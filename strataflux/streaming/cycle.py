@@ -2,7 +2,7 @@
 
 A cycle takes all files that landed since the last one (``availableNow``), and writes each micro-batch through
 ``foreachBatch`` keyed by batch, so that a batch that runs twice leaves the same table. Late rows replace what
-they supersede; nothing is dropped for lateness.
+they supersede; nothing is dropped for lateness. The history is a log whose runs are merged in levels.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from strataflux.operators.results import upsert
 from strataflux.session import checkpoint_dir
+from strataflux.streaming.log import KeyedLog
 
 
 def shared(spark: SparkSession) -> str:
@@ -34,19 +35,20 @@ def landed(spark: SparkSession, path: str, schema, files_per_batch: int = 100, d
     return reader.parquet(path)
 
 
-def history_batches(target: str, keys: list[str], version: str) -> Callable[[DataFrame, int], None]:
-    """A batch function that appends the batch's last version of each key, in a folder of its own that a rerun replaces."""
+def words_of(stream: DataFrame, base: str) -> DataFrame:
+    """All that a stateful stream says until it has read what there is: each batch in a folder of its own, which a rerun replaces."""
+    spark, schema = stream.sparkSession, stream.schema
 
     def write(df: DataFrame, batch_id: int) -> None:
-        upsert(df.limit(0), df, keys, version).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        df.write.mode("overwrite").parquet(f"{base}/words/batch={batch_id}")
 
-    return write
+    stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{base}/words")
 
 
-def history(spark: SparkSession, target: str, keys: list[str], version: str, schema) -> DataFrame:
-    """The last version of each key over all batches."""
-    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(target)
-    return upsert(rows.limit(0), rows, keys, version)
+def history(spark: SparkSession, path: str, keys: list[str], version: str, schema: StructType) -> KeyedLog:
+    """A keyed history that batches of a stream are appended to; see :class:`~strataflux.streaming.log.KeyedLog`."""
+    return KeyedLog(spark, path, keys, version, schema)
 
 
 def replay(spark: SparkSession, path: str) -> DataFrame:
@@ -55,9 +57,9 @@ def replay(spark: SparkSession, path: str) -> DataFrame:
     schema = spark.read.parquet(path).schema
     # A pattern, as a stream reads folders or patterns and the table may be one file.
     shaped = landed(spark, f"{path[:-1]}[{path[-1]}]", schema).select(F.col("user_id").alias("bridge"), F.col("event_type").alias("kind"), F.to_date("ts").cast("string").alias("date"), "value", F.col("event_id").alias("version"))
-    keys = ["bridge", "kind", "date"]
-    run_cycle(shaped, history_batches(f"{base}/history", keys, "version"), f"{base}/checkpoint")
-    return history(spark, f"{base}/history", keys, "version", shaped.schema)
+    log = history(spark, f"{base}/history", ["bridge", "kind", "date"], "version", shaped.schema)
+    run_cycle(shaped, lambda df, batch: log.append(df, batch) and None, f"{base}/checkpoint")
+    return log.read()
 
 
 def changed(results: DataFrame, previous: DataFrame, keys: list[str], date: str) -> DataFrame:
