@@ -63,6 +63,9 @@ def by_tracks(results: DataFrame) -> DataFrame:
     return results.groupBy("bridge").agg(F.array_sort(F.collect_list(F.struct("track", "level", "n_ps", "proxy", "r_now"))).alias("tracks"))
 
 
+# The Korean texts below are those of the reports.
+
+
 def segment_label(start: Column, length: float = 15.0) -> Column:
     """Text of a segment on the deck's axis."""
     metres = lambda x: F.format_string("%+.0f", F.bround(x))

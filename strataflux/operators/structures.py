@@ -18,14 +18,16 @@ from strataflux.criteria import Criteria
 from strataflux.functions import regress
 from strataflux.functions.expr import confidence, level, rectangle_distance, span, thresholds_of
 from strataflux.operators import deck, judge, timeline
+from strataflux.operators.documents import REASONS
 from strataflux.session import staged
 
 #: Metres: an end's ground lies this far beyond it and this near to the axis; the ring that stands for the surroundings there.
 APPROACH, APPROACH_ACROSS, FAR = (10.0, 200.0), 50.0, (100.0, 500.0)
 #: Metres under which a deck is too short for the sensor.
 SHORT = 20.0
+#: A fixed value, as reports read.
 SHORT_NOTE = "연장 20 m 미만: Sentinel-1 해상도 한계 (참고)"
-NO_SHAPE, NO_POINTS = "OSM 형상 없음", "교량 위·교대부 모두 산란체 없음"
+NO_SHAPE, NO_POINTS, NO_ZONES = (REASONS[k] for k in ("shape", "points", "zones"))
 
 
 def beta_allowed(kind: Column, criteria: Criteria = Criteria()) -> Column:
@@ -142,12 +144,17 @@ def deck_parts(decks: DataFrame, points: DataFrame, obs: DataFrame, criteria: Cr
     return Parts(dates, placed, series, staged(node_table(placed, series)), ring_series, surroundings, years)
 
 
-def judge_structures(decks: DataFrame, points: DataFrame, obs: DataFrame, as_of: Column, criteria: Criteria = Criteria()) -> DataFrame:
-    """A record for each deck.
+def judge_structures(decks: DataFrame, points: DataFrame, obs: DataFrame, as_of: Column, criteria: Criteria = Criteria(), qc: DataFrame | None = None) -> DataFrame:
+    """A record for each deck. Decks of tiles that failed quality control (qc: tile, status) are not judged, and say so.
 
     decks: tile, bridge, x0, y0, ax, ay, len, width, cls, type (x0 null without a shape); points: tile, point, x, y, src; obs: tile,
     point, date, t, y (vertical, mm), dtemp. All in metres of the tile's frame.
     """
+    failed = None
+    if qc is not None:
+        bad = qc.where(F.coalesce("status", F.lit("")) != "OK").select("tile", F.coalesce("status", F.lit("")).alias("_qc"))
+        failed = decks.join(bad, "tile").select("tile", "bridge", "len", "cls", "type", F.lit(-1).alias("level"), F.when(F.col("_qc") == "FAIL_stamps", REASONS["stamps"]).otherwise(REASONS["reference"]).alias("reason"), F.lit(False).alias("proxy"))
+        decks = decks.join(bad, "tile", "left_anti")
     facts = decks.withColumns({"span": span(F.col("type"), F.col("len"), criteria), "beta_allow": beta_allowed(F.col("type"), criteria)})
     parts = deck_parts(decks, points, obs, criteria)
     placed, series, nodes, ring_series, surroundings, years = parts.placed, parts.series, parts.nodes, parts.ring_series, parts.surroundings, parts.years
@@ -172,15 +179,16 @@ def judge_structures(decks: DataFrame, points: DataFrame, obs: DataFrame, as_of:
     out = facts.select("tile", "bridge", "x0", "len", "cls", "type", "span", "beta_allow", n_nodes).join(out.unionByName(ends, allowMissingColumns=True), "bridge", "left").join(own, "bridge", "left").join(cover, "bridge", "left").join(gaps.select("tile", "gap"), "tile", "left")
     out = out.withColumns({"n_ps": F.coalesce("n_ps", F.lit(0)), "cover": F.coalesce("_n", F.lit(0)) / F.col("n_nodes"), "has_ring": F.col("n_ring").isNotNull(), "is_judged": F.col("level").isNotNull(), "proxy": F.coalesce("proxy", F.lit(False))})
     sound = judge.review(F.col("level"), F.col("n_ps"), F.col("cover"), F.col("has_ring"), F.coalesce("uncertain", F.lit(False)), F.coalesce("gap", F.lit(False)), criteria)
-    return out.withColumns(
+    out = out.withColumns(
         {
             "review": F.when(F.col("proxy"), True).otherwise(sound),
             "conf": F.when(F.col("proxy"), "낮음").when(F.col("is_judged"), confidence(F.col("cover"), F.col("has_ring"))),
-            "reason": F.when(~F.col("is_judged"), F.when(F.col("x0").isNull(), NO_SHAPE).otherwise(NO_POINTS)),
+            "reason": F.when(~F.col("is_judged"), F.when(F.col("x0").isNull(), NO_SHAPE).when(F.col("n_ps") == 0, NO_POINTS).otherwise(NO_ZONES)),
             "note": F.when(F.col("is_judged") & ~F.col("proxy") & (F.col("len") < SHORT), SHORT_NOTE),
             "level": F.coalesce("level", F.lit(-1)),
         }
     ).drop("x0", "_n", "is_judged", "gap")
+    return out if failed is None else out.unionByName(failed, allowMissingColumns=True)
 
 
 def sources(placed: DataFrame, kinds: list[str]) -> DataFrame:

@@ -126,7 +126,7 @@ JUDGED = (
     + """SELECT bridge, level, proxy, n_ps, round(cover, 4) AS cover, has_ring, round(d_now, 1) AS d_now, round(d_10y, 1) AS d_10y, round(b_now, 6) AS beta_now, round(b_10y, 6) AS beta_10y, round(r_now, 3) AS r_now, round(r_10y, 3) AS r_10y,
   round(r_lo, 3) AS r_lo, round(r_hi, 3) AS r_hi, thermal_mm, uncertain, CASE WHEN level < 0 THEN NULL WHEN proxy OR NOT has_ring THEN '낮음' WHEN cover >= 0.5 THEN '높음' WHEN cover >= 0.25 THEN '보통' ELSE '낮음' END AS conf,
   CASE WHEN proxy THEN true WHEN level < 0 THEN NULL ELSE level >= 2 AND (n_ps < 5 OR cover < 0.25 OR NOT has_ring OR uncertain OR gap) END AS review,
-  CASE WHEN level < 0 THEN CASE WHEN x0 IS NULL THEN 'OSM 형상 없음' ELSE '교량 위·교대부 모두 산란체 없음' END END AS reason,
+  CASE WHEN level < 0 THEN CASE WHEN x0 IS NULL THEN 'OSM 형상 없음' WHEN n_ps = 0 THEN '교량 위·교대부 모두 산란체 없음' ELSE '지점부·교대부 산란체 없음' END END AS reason,
   CASE WHEN level >= 0 AND NOT proxy AND len < 20 THEN '연장 20 m 미만: Sentinel-1 해상도 한계 (참고)' END AS note FROM fin"""
 )
 def judge_bridges(spark, sf_dir):
