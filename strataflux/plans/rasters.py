@@ -102,3 +102,42 @@ def crop_windows(spark, sf_dir):
     v = table(spark, sf_dir, "nation").select(n.cast("long").alias("key"), F.lit(0).alias("image"), F.lit(37.0).alias("lat0"), F.explode(F.array(F.lit(0), F.lit(1))).alias("e"))
     v = v.withColumns({"lat": 37.0 + F.col("key") * 0.0008 + F.col("e") * 0.0016, "lon": 128.0 + F.col("key") % 5 * 0.002 + F.col("e") * 0.004})
     return imaging.crops(p, imaging.boxes(v, 30.0), least=(4, 8), patch=(2, 5), least_pixels=10).drop("image")
+
+
+@query("SELECT event_id // 100 AS row, count(*) AS n, round(sum(CAST(value AS FLOAT)::DOUBLE), 4) AS total, CAST(CAST(event_id // 100 AS BIGINT) % 3 AS INT) AS part FROM events GROUP BY event_id // 100")
+def raster_round_trip(spark, sf_dir):
+    """A raster of 100 columns written in order by many tasks, three rasters in all, and read back by byte ranges."""
+    from strataflux.sources import rasters
+    from strataflux.streaming.cycle import shared
+
+    k = F.col("event_id")
+    # Each row's values in order of its columns: a row has 100.
+    g = table(spark, sf_dir, "events").groupBy(F.floor(k / 100).alias("row")).agg(F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.col("value").alias("v")))), lambda x: x["v"]).alias("re"))
+    path = f"{shared(spark)}/raster"
+    rasters.write_ordered(g.withColumn("part_of", F.concat(F.lit("b"), (F.col("row") % 3).cast("string"))), ["row"], path)
+    back = rasters.read_raster(spark, path, 100, split=4000)
+    part = F.regexp_extract("file", "b([0-2])$", 1).cast("int")
+    return back.select((F.col("row") * 3 + part).alias("row"), F.size("re").cast("long").alias("n"), F.round(F.aggregate("re", F.lit(0.0), lambda s, x: s + x), 4).alias("total"), part.alias("part"))
+
+
+@query(
+    """WITH p AS (SELECT p_partkey AS k, p_partkey % 17 AS r, p_partkey AS c, p_retailprice AS h FROM part WHERE p_size > 10) SELECT row_number() OVER (ORDER BY r, c) AS id, r AS row, c AS col, round(h, 3) AS height FROM p"""
+)
+def numbered_candidates(spark, sf_dir):
+    """Candidates numbered in order of row and column, as the inputs of a scatterer run have them."""
+    from strataflux.session import staged
+    from strataflux.sources import rasters
+
+    k = F.col("p_partkey")
+    c = table(spark, sf_dir, "part").where("p_size > 10").select((k % 17).alias("row"), k.alias("col"), F.col("p_retailprice").alias("height"))
+    return staged(rasters.numbered(c, ["row", "col"])).select("id", "row", "col", F.round("height", 3).alias("height"))
+
+
+@query("WITH d AS (SELECT event_type AS tile, count(DISTINCT CAST(ts AS DATE)) AS n FROM events GROUP BY 1), i AS (SELECT event_type AS tile, avg(value - 20) AS m FROM events WHERE value - 20 > 0 GROUP BY 1) SELECT tile, n AS n_dates, round(m, 6) AS inc_mean, n >= 29 AS done FROM d LEFT JOIN i USING (tile)")
+def window_meta(spark, sf_dir):
+    """What is known of each window, and whether it has dates enough."""
+    from strataflux.sources import rasters
+
+    e = table(spark, sf_dir, "events")
+    out = rasters.window_meta(e.select(F.col("event_type").alias("tile"), F.to_date("ts").alias("date")), e.select(F.col("event_type").alias("tile"), F.array(F.col("value") - 20).alias("re")), 29)
+    return out.select("tile", "n_dates", F.round("inc_mean", 6).alias("inc_mean"), "done")
