@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strataflux.operators.spatial import avoid, densest_cluster
+from strataflux.functions import regress
+from strataflux.functions.expr import mm_to_phase
+from strataflux.operators.spatial import avoid, densest_cluster, radius_join
 
 LADDER = (0.95, 0.92, 0.90, 0.85, 0.80)
 
 
-def reference_cluster(points: DataFrame, vertices: DataFrame, keys: list[str], key: str, coherence: str, ring: tuple[float, float], away: float = 100.0, radius: float = 50.0, ladder: tuple[float, ...] = LADDER) -> DataFrame:
-    """keys, rung and the densest cluster at the first rung of the coherence ladder that has candidates.
+def reference_candidates(points: DataFrame, vertices: DataFrame, keys: list[str], coherence: str, ring: tuple[float, float], away: float = 100.0, ladder: tuple[float, ...] = LADDER) -> tuple[DataFrame, DataFrame]:
+    """Points that may be of the reference, and keys with the rung: the first of the coherence ladder that has candidates.
 
     All rungs are found in one pass: a candidate counts for each rung it reaches.
     """
@@ -20,10 +22,33 @@ def reference_cluster(points: DataFrame, vertices: DataFrame, keys: list[str], k
     for k, least in reversed(list(enumerate(ladder))):
         rung = F.when(F.col(coherence) >= least, k).otherwise(rung)
     first = free.withColumn("rung", rung).groupBy(*keys).agg(F.min("rung").alias("rung"))
-    chosen = free.join(first, keys).where(F.col(coherence) >= F.element_at(F.array(*map(F.lit, ladder)), F.col("rung") + 1))
+    return free.join(first, keys).where(F.col(coherence) >= F.element_at(F.array(*map(F.lit, ladder)), F.col("rung") + 1)), first
+
+
+def reference_cluster(points: DataFrame, vertices: DataFrame, keys: list[str], key: str, coherence: str, ring: tuple[float, float], away: float = 100.0, radius: float = 50.0, ladder: tuple[float, ...] = LADDER) -> DataFrame:
+    """keys, rung and the densest cluster at the first rung of the coherence ladder that has candidates."""
+    chosen, first = reference_candidates(points, vertices, keys, coherence, ring, away, ladder)
     return densest_cluster(chosen, radius, key, coherence, keys).join(first, keys)
 
 
+def cluster_members(candidates: DataFrame, cluster: DataFrame, keys: list[str], key: str, radius: float = 50.0) -> DataFrame:
+    """keys and ``key`` of the candidates within ``radius`` of their cluster's centre, itself included."""
+    centre = cluster.join(candidates.select(*keys, F.col(key).alias("centre"), "x", "y"), [*keys, "centre"]).select(*keys, "x", "y")
+    return radius_join(candidates.select(*keys, key, "x", "y"), centre, radius, how="left_semi", on=keys).select(*keys, key)
+
+
+def reference_coherence(series: DataFrame, members: DataFrame, keys: list[str], key: str, date: str, value: str = "y", t: str = "t") -> DataFrame:
+    """keys, date, n and gamma: how well the cluster's members agree on a date, as the length of the mean phasor of their residuals about trend and season.
+
+    What all members share cancels in the length, so gamma measures agreement within the cluster.
+    """
+    own = series.join(members, [*keys, key], "left_semi").where(F.col(value).isNotNull())
+    fit = regress.least_squares(own, [*keys, key], value, regress.seasonal(t)).select(*keys, key, *(f"c_{k}" for k in range(4)))
+    model = sum((F.col(f"c_{k}") * x for k, x in enumerate(regress.seasonal(t))), F.lit(0.0))
+    residual = own.join(fit, [*keys, key]).withColumn("_phase", mm_to_phase(F.col(value) - model))
+    return date_coherence(residual, [*keys, date], "_phase")
+
+
 def date_coherence(phases: DataFrame, keys: list[str], phase: str) -> DataFrame:
     """keys (with the date), n and gamma, the length of the mean phasor."""
     return phases.groupBy(*keys).agg(F.count("*").alias("n"), F.hypot(F.avg(F.cos(phase)), F.avg(F.sin(phase))).alias("gamma"))

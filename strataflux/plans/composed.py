@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strataflux.functions import regress
 from strataflux.functions.expr import status_label
-from strataflux.operators import history, judge, qc, results, structures, timeline
+from strataflux.operators import history, judge, qc, results, spatial, structures, timeline
 from strataflux.plans.queries import SEASONAL_SQL, observations, obs_sql, query, table
 from strataflux.sources import search
 
@@ -303,3 +303,30 @@ def qc_ladder(spark, sf_dir):
     dates = dates.join(cluster.select("tile", qc.rung_value(F.col("rung")).alias("cmin")), "tile")
     out = cluster.join(qc.date_summary(dates, ["tile"], gmin=F.col("cmin")), "tile")
     return out.select("tile", "rung", "centre", "n_cluster", F.round("coh_mean", 6).alias("coh_mean"), "n_dates", "n_kept", "drop_bperp", "drop_refcoh", F.round("refcoh_median", 6).alias("refcoh_median"))
+
+
+@query(
+    f"""WITH p AS (SELECT s_suppkey AS id, s_nationkey % 5 AS tile, s_suppkey * 7919 % 3000 - 1500.0 AS x, s_suppkey * 104729 % 3000 - 1500.0 AS y, (s_suppkey * 31 % 100) / 100 AS coh FROM supplier),
+  v AS (SELECT c_custkey * 6151 % 3000 - 1500.0 AS x, c_custkey * 3571 % 3000 - 1500.0 AS y FROM customer),
+  f AS (SELECT *, CASE WHEN coh >= 0.95 THEN 0 WHEN coh >= 0.92 THEN 1 WHEN coh >= 0.90 THEN 2 WHEN coh >= 0.85 THEN 3 ELSE 4 END AS r FROM p WHERE coh >= 0.8 AND sqrt(x * x + y * y) <= 1500 AND NOT EXISTS (SELECT 1 FROM v WHERE sqrt((p.x - v.x) ** 2 + (p.y - v.y) ** 2) < 20)),
+  g AS (SELECT tile, {_LADDER}[min(r) + 1]::DOUBLE AS cmin FROM f GROUP BY tile), c AS (SELECT f.* FROM f JOIN g USING (tile) WHERE coh >= cmin),
+  e AS (SELECT a.tile, a.id, count(*) AS n, avg(b.coh) AS m FROM c a JOIN c b ON a.tile = b.tile AND sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) <= 1800 GROUP BY ALL),
+  best AS (SELECT tile, id AS centre FROM (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY n DESC, round(m, 9) DESC, id) AS k FROM e) WHERE k = 1),
+  mem AS (SELECT c.tile, c.id FROM best JOIN c z ON z.tile = best.tile AND z.id = centre JOIN c ON c.tile = z.tile AND sqrt((c.x - z.x) ** 2 + (c.y - z.y) ** 2) <= 1800),
+  o AS (SELECT tile, id, d, t, y / 50 AS y FROM {obs_sql()} JOIN mem ON id = bridge), w AS ({regress.ols_sql("o", "tile, id", "y", SEASONAL_SQL)}),
+  h AS (SELECT tile, d, (y - c_0 - c_1 * sin(t * 6.283185307179586) - c_2 * cos(t * 6.283185307179586) - c_3 * t) * 4 * pi() / 55.46576 AS phi FROM o JOIN w USING (tile, id)),
+  q AS (SELECT tile, d, count(*) AS n, sqrt(avg(cos(phi)) ** 2 + avg(sin(phi)) ** 2) AS gamma FROM h GROUP BY ALL)
+SELECT tile, CAST(d AS VARCHAR) AS date, n, round(gamma, 5) AS gamma, gamma >= cmin AS kept FROM q JOIN g USING (tile)"""
+)
+def reference_gamma(spark, sf_dir):
+    """How well the members of each tile's reference cluster agree on each date, and whether the cluster's rung keeps the date."""
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    s = table(spark, sf_dir, "supplier")
+    p = s.select(k.alias("id"), (F.col("s_nationkey") % 5).alias("tile"), (k * 7919 % 3000 - 1500.0).alias("x"), (k * 104729 % 3000 - 1500.0).alias("y"), (k * 31 % 100 / 100).alias("coh"))
+    v = table(spark, sf_dir, "customer").select((c * 6151 % 3000 - 1500.0).alias("x"), (c * 3571 % 3000 - 1500.0).alias("y"))
+    chosen, first = qc.reference_candidates(p, v, ["tile"], "coh", (0.0, 1500.0), away=20.0)
+    cluster = spatial.densest_cluster(chosen, 1800.0, "id", "coh", ["tile"])
+    members = qc.cluster_members(chosen, cluster, ["tile"], "id", 1800.0)
+    o = observations(spark, sf_dir).join(s, F.col("bridge") == k).select((F.col("s_nationkey") % 5).alias("tile"), F.col("bridge").alias("id"), F.col("d").alias("date"), "t", (F.col("y") / 50).alias("y"))
+    out = qc.reference_coherence(o, members, ["tile"], "id", "date").join(first, "tile")
+    return out.select("tile", F.col("date").cast("string").alias("date"), "n", F.round("gamma", 5).alias("gamma"), (F.col("gamma") >= qc.rung_value(F.col("rung"))).alias("kept"))
