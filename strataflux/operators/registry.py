@@ -49,13 +49,13 @@ def tiles(structures: DataFrame, size_m: float = 1500.0, margin_m: float = 300.0
     df = df.withColumns({"cx": F.floor((F.col("lon") - 120) * scale / size_m), "cy": F.floor((F.col("lat") - 30) * METRES_PER_DEGREE / size_m), "_ke": scale})
     df = df.withColumn("tile", F.format_string("t%d_%d", F.col("cx"), F.col("cy")))
     box = df.groupBy("tile").agg(
-        F.count("*").alias("n"), F.first("_ke").alias("_ke"),
+        F.count("*").alias("n_structures"), F.first("_ke").alias("_ke"),
         F.min(F.least("lat1", "lat2")).alias("_s"), F.max(F.greatest("lat1", "lat2")).alias("_n"), F.min(F.least("lon1", "lon2")).alias("_w"), F.max(F.greatest("lon1", "lon2")).alias("_e"),
     )
     clat, clon = (F.col("_s") + F.col("_n")) / 2, (F.col("_w") + F.col("_e")) / 2
     half_y = F.greatest((F.col("_n") - F.col("_s")) / 2 * METRES_PER_DEGREE + margin_m, F.lit(least_half_m)) / METRES_PER_DEGREE
     half_x = F.greatest((F.col("_e") - F.col("_w")) / 2 * F.col("_ke") + margin_m, F.lit(least_half_m)) / F.col("_ke")
-    box = box.select("tile", "n", clat.alias("clat"), clon.alias("clon"), (clat - half_y).alias("S"), (clat + half_y).alias("N"), (clon - half_x).alias("W"), (clon + half_x).alias("E"))
+    box = box.select("tile", "n_structures", clat.alias("clat"), clon.alias("clon"), (clat - half_y).alias("S"), (clat + half_y).alias("N"), (clon - half_x).alias("W"), (clon + half_x).alias("E"))
     return box, df.select("id", "tile")
 
 

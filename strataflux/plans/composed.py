@@ -252,7 +252,7 @@ def scene_search(spark, sf_dir):
     k = F.col("n_nationkey")
     w, s = (k % 5) * 600.0, F.floor(k / 5) * 600.0
     area = table(spark, sf_dir, "nation").select(w.alias("W"), (w + 100).alias("E"), s.alias("S"), (s + 80).alias("N"))
-    return search.scenes(catalogue, area, "1996-01-01", "1996-06-30").select("scene", F.date_format("start_time", "yyyyMMdd").alias("date"))
+    return search.scenes(catalogue, area, "1996-01-01", "1996-06-30", cell=200.0).select("scene", F.date_format("start_time", "yyyyMMdd").alias("date"))
 
 
 @query("SELECT DISTINCT n_name AS city FROM supplier JOIN nation ON n_nationkey = s_nationkey ORDER BY 1")

@@ -22,18 +22,19 @@ def _landing(df: DataFrame, by) -> str:
 
 
 _WEEK = "CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INT)"
+_HALF = _WEEK.replace("/ 7)", "/ 14)")
 _JUDGED = "SELECT track, bridge, level, n FROM (SELECT *, row_number() OVER (PARTITION BY bridge ORDER BY n DESC, level DESC, track DESC) AS k FROM (SELECT event_type AS track, user_id AS bridge, CAST(sum(floor(value)) AS BIGINT) % 4 AS level, count(*) AS n FROM (SELECT event_type, user_id, CAST(ts AS DATE), max_by(value, event_id) AS value FROM events WHERE {0} GROUP BY ALL) GROUP BY ALL)) WHERE k = 1"
 
 
 @query(
-    f"""WITH w AS (SELECT max({_WEEK}) AS last FROM events), now AS ({_JUDGED.format("true")}), old AS ({_JUDGED.format(f"{_WEEK} < (SELECT last FROM w)")})
+    f"""WITH w AS (SELECT max({_HALF}) AS last FROM events), now AS ({_JUDGED.format("true")}), old AS ({_JUDGED.format(f"{_HALF} < (SELECT last FROM w)")})
 SELECT now.bridge, now.track, CAST(now.level AS INT) AS level, now.n, CAST(old.level AS INT) AS prev, CASE WHEN now.level < 2 THEN NULL WHEN old.level IS NULL OR old.level < 2 THEN '신규 경보' WHEN now.level > old.level THEN '등급 상승' ELSE '지속' END AS kind FROM now LEFT JOIN old USING (bridge)"""
 )
 def incremental_cycle(spark, sf_dir):
-    """Weeks of events land one by one; each cycle judges only the tiles that its week changes. The last cycle's judgements and their alerts."""
+    """Events land in fortnights; each cycle judges only the tiles that its fortnight changes. The last cycle's judgements and their alerts."""
     e = table(spark, sf_dir, "events").where(F.col("ts").isNotNull())
     rows = e.select(F.col("event_type").alias("track"), (F.col("user_id") % 10).cast("string").alias("tile"), F.col("user_id").alias("bridge"), F.to_date("ts").alias("date"), "value", F.col("event_id").alias("version"))
-    base = _landing(rows, F.floor(F.datediff("date", F.lit("2024-01-01")) / 7).cast("int"))
+    base = _landing(rows, F.floor(F.datediff("date", F.lit("2024-01-01")) / 14).cast("int"))
 
     def judge(series: DataFrame) -> DataFrame:
         return series.groupBy("track", "tile", "bridge").agg((F.sum(F.floor("value")) % 4).cast("int").alias("level"), F.count("*").alias("n"))

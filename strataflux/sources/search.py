@@ -12,16 +12,23 @@ def meets(W: Column, S: Column, E: Column, N: Column, area: DataFrame) -> list[C
     return [W <= area["E"], E >= area["W"], S <= area["N"], N >= area["S"]]
 
 
-def scenes(catalogue: DataFrame, area: DataFrame, start: str, end: str | None = None) -> DataFrame:
-    """Rows of ``catalogue`` (W, S, E, N, start_time, ...) that meet a box of ``area`` and began in [start, end]. Areas are a few boxes.
+def scenes(catalogue: DataFrame, area: DataFrame, start: str, end: str | None = None, cell: float = 1.0) -> DataFrame:
+    """Rows of ``catalogue`` (W, S, E, N, start_time, ...) that meet a box of ``area`` and began in [start, end].
 
-    The time is a plain comparison that reaches the scan; the place is a semi join with the boxes.
+    The time is a plain comparison that reaches the scan. The place is an equi semi join: a scene stands in the cell of its south-west corner, and a box
+    of the area in all cells from which a scene of the catalogue's largest extents can reach it, so a scene meets every box it may
+    overlap in one cell and no nested loop is planned. A row comes once, however many boxes it meets.
     """
     found = catalogue.where(F.col("start_time") >= F.lit(start).cast("timestamp"))
     if end is not None:
         found = found.where(F.col("start_time") < F.date_add(F.lit(end).cast("date"), 1))
-    boxes = area.select(*(F.col(c).alias(c) for c in ("W", "S", "E", "N")))
-    return found.join(boxes, meets(found["W"], found["S"], found["E"], found["N"], boxes), "left_semi")
+    most = found.agg(F.max(F.col("E") - F.col("W")).alias("_dx"), F.max(F.col("N") - F.col("S")).alias("_dy"))
+    boxes = area.select(*(F.col(c).alias(c) for c in ("W", "S", "E", "N"))).crossJoin(F.broadcast(most)).where("_dx is not null")  # one row
+    steps = lambda lo, hi: F.explode(F.sequence(F.floor(lo / cell), F.floor(hi / cell)))
+    boxes = boxes.withColumn("_i", steps(F.col("W") - F.col("_dx"), F.col("E"))).withColumn("_j", steps(F.col("S") - F.col("_dy"), F.col("N")))
+    placed = found.withColumns({"_ci": F.floor(F.col("W") / cell), "_cj": F.floor(F.col("S") / cell)})
+    near = [placed["_ci"] == boxes["_i"], placed["_cj"] == boxes["_j"]]
+    return placed.join(boxes, near + meets(placed["W"], placed["S"], placed["E"], placed["N"], boxes), "left_semi").drop("_ci", "_cj")
 
 
 def tracks(found: DataFrame, least: int = 30, gap_days: int = 365) -> DataFrame:
