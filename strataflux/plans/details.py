@@ -256,3 +256,22 @@ def area_boxes(spark, sf_dir):
     a, t = k % 7 * 0.01, k % 40
     boxes = table(spark, sf_dir, "customer").groupBy(t.alias("tile")).agg(F.min(37 + t / 50 + a).alias("S"), F.max(37 + t / 50 + a).alias("N"), F.min(128 + t / 30 - a).alias("W"), F.max(128 + t / 30 + a).alias("E"))
     return registry.area(boxes).select("tile", *(F.round(c, 6).alias(c) for c in "SNWE"))
+
+
+_BOXES = "(SELECT s_nationkey % 4 AS g, (s_suppkey * 7919 % 900)::DOUBLE AS w, (s_suppkey * 104729 % 900)::DOUBLE AS s, (s_suppkey * 7919 % 900 + 60 + s_suppkey % 90)::DOUBLE AS e, (s_suppkey * 104729 % 900 + 40 + s_suppkey % 70)::DOUBLE AS n FROM supplier)"
+
+
+@query(
+    f"""WITH b AS {_BOXES}, x AS (SELECT g, x AS x0, lead(x) OVER (PARTITION BY g ORDER BY x) AS x1 FROM (SELECT DISTINCT g, w AS x FROM b UNION SELECT g, e FROM b)), y AS (SELECT g, y AS y0, lead(y) OVER (PARTITION BY g ORDER BY y) AS y1 FROM (SELECT DISTINCT g, s AS y FROM b UNION SELECT g, n FROM b)),
+  c AS (SELECT DISTINCT g, x0, x1, y0, y1 FROM x JOIN y USING (g) JOIN b USING (g) WHERE w <= x0 AND e >= x1 AND s <= y0 AND n >= y1)
+SELECT g AS "group", round(sum((x1 - x0) * (y1 - y0)), 3) AS area, round(sum((x1 - x0) * (y1 - y0)), 3) AS within_outline FROM c GROUP BY g"""
+)
+def area_union(spark, sf_dir):
+    """The area that a group's boxes cover together, by strips and by their outline."""
+    from strataflux.operators import regions
+
+    k = F.col("s_suppkey")
+    w, s = k * 7919 % 900, k * 104729 % 900
+    boxes = table(spark, sf_dir, "supplier").select((F.col("s_nationkey") % 4).alias("group"), w.alias("W"), s.alias("S"), (w + 60 + k % 90).alias("E"), (s + 40 + k % 70).alias("N"))
+    inside = regions.outline(boxes, 250.0).groupBy("group").agg(F.round(F.sum(F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")) / 2, 3).alias("within_outline"))
+    return regions.areas(boxes, 250.0).withColumn("area", F.round("area", 3)).join(inside, "group")
