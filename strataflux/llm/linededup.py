@@ -3,9 +3,9 @@
 A block is a run of adjacent lines with enough words. The shortest blocks from and up to each line are keyed by hash,
 and a key leads from each later document to the first that has it, however many have it. Every line of a block that
 two documents share lies in a keyed block that they share, so each such line has a partner; there are never more pairs than
-keys, of which there are at most two a line. Patience diff aligns the lines of each pair, and aligned blocks are deleted from
-the later document. Keyed blocks that no one alignment holds, as their order differs or they repeat, go as well. So a line with words goes
-if and only if it lies in a block that an earlier document has. Lines are judged on the input.
+keys, of which there are at most two a line. Patience diff aligns the lines of each pair, and aligned blocks, and no others, are deleted from
+the later document. One alignment keeps the order of lines; keyed blocks that it does not hold, as their order differs or they repeat, are aligned again, each
+with its own place in the partner. So a line with words goes if and only if it lies in a block that an earlier document has. Lines are judged on the input.
 
 Null text has no lines; a null id is never searched nor changed. Repeated rows of an id are changed alike and
 are not earlier than each other. Columns of the caller stay, but for ``n_lines``, ``n_removed_lines``, ``_cut`` and ``_found``, which are replaced. Blank lines count as part of a block that surrounds them. Only hashes of lines
@@ -146,13 +146,16 @@ def repeated_lines(docs: DataFrame, block_words: int = BLOCK_WORDS, id_col: str
                 keys, begin, end = keyed_blocks(own, n, block_words)
                 at = np.flatnonzero(np.isin(keys, shared))
                 if len(at) and not out[np.concatenate([np.arange(begin[k], end[k]) for k in at])].all():
-                    # Not in the alignment, but in the partner: its lines tell.
+                    # Blocks that the partner has in another order or more than once: each is aligned with its own place there.
                     theirs = {}
                     for key, lo, hi in zip(*(x.tolist() for x in keyed_blocks(a, m, block_words))):
-                        theirs.setdefault(key, []).append(a[lo:hi])
+                        theirs.setdefault(key, []).append((lo, hi))
                     for k in at.tolist():
-                        if any(np.array_equal(own[begin[k] : end[k]], x) for x in theirs.get(int(keys[k]), [])):
-                            out[begin[k] : end[k]] = True
+                        block = slice(begin[k], end[k])
+                        for lo, hi in theirs.get(int(keys[k]), []):
+                            if out[block].all():
+                                break
+                            out[begin[k] + np.array(blocks(patience(a[lo:hi].tolist(), own[block].tolist()), n[block], block_words), int)] = True
                 gone.append(np.flatnonzero(out))
             yield pd.DataFrame({"doc_id": b["doc_id"], "key": b["key"], "gone": gone})
 

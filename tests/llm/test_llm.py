@@ -558,3 +558,17 @@ def test_words_rejoin():
     for x in ODD:
         if x:
             assert "".join(bpe.split_words(x)) == x
+
+
+def test_no_line_goes_without_an_alignment(spark):
+    """Blocks in another order go by alignments of their own; nothing goes where nothing is aligned."""
+    one, two, three = (" ".join(f"{c}{k}" for k in range(12)) for c in "xyz")
+    df = spark.createDataFrame([(1, f"{one}\n{two}\nm\n{one}"), (2, f"{two}\nown\n{one}\n{three}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.apply(df, linededup.repeated_lines(df)).collect()}
+    assert got[2] == f"own\n{three}"
+    before = linededup.patience
+    try:
+        linededup.patience = lambda a, b: []
+        assert linededup.repeated_lines(df.withColumn("text", F.col("text"))).count() == 0
+    finally:
+        linededup.patience = before
