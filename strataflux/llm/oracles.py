@@ -20,6 +20,19 @@ word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d
 kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
 
+#: A line goes if it lies in a run of lines with ten words or more that an earlier document has; the shortest runs from and up to a line are enough.
+OP10_SQL = r"""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+s AS (SELECT doc_id, list_transform(x, lambda y: regexp_replace(y, '^[\x20\x09\x0B\x0C\x0D]+|[\x20\x09\x0B\x0C\x0D]+$', '', 'g')) AS y FROM d WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(range(1, len(y) + 1)) AS k, unnest(list_transform(y, lambda z: len(regexp_extract_all(z, '[^\x20\x09-\x0D]+')))) AS n FROM s),
+u AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY k) AS up FROM l),
+b AS (SELECT a.doc_id, a.k AS lo, min(z.k) AS hi FROM u a JOIN u z ON z.doc_id = a.doc_id AND z.k >= a.k AND z.up >= a.up - a.n + 10 WHERE a.n > 0 GROUP BY a.doc_id, a.k
+  UNION SELECT z.doc_id, max(a.k), z.k FROM u z JOIN u a ON z.doc_id = a.doc_id AND z.k >= a.k AND z.up >= a.up - a.n + 10 WHERE z.n > 0 GROUP BY z.doc_id, z.k),
+t AS (SELECT doc_id, lo, hi, array_to_string(y[lo:hi], chr(10)) AS block FROM b JOIN s USING (doc_id)),
+f AS (SELECT block, min(doc_id) AS m FROM t GROUP BY block HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, list_distinct(flatten(list(range(lo, hi + 1)))) AS gone FROM t JOIN f USING (block) WHERE doc_id > m GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(x), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed_lines,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN x ELSE list_filter(x, lambda y, i: NOT list_contains(gone, i)) END, chr(10)), '')) AS kept_sha256 FROM d LEFT JOIN g USING (doc_id)"""
+
 OP11_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS n, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS m FROM pages)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(t) AS payload_digest, CASE WHEN n >= 100 AND m < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= 100 AND m < page_id THEN m END AS refers_to FROM p"""
 
