@@ -12,6 +12,16 @@ def _crc32(number: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT)"
 
 
+OP4_SQL = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+links AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, links.b FROM r JOIN links ON links.a = r.b)
+SELECT doc_id, n AS n_shingles, m AS component_id, doc_id = m AS kept FROM n JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) ON a = doc_id"""
+
 OP9_SQL = r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d)),
 hit AS (SELECT doc_id, i FROM win JOIN (SELECT s, min(doc_id) AS m FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)) USING (s) WHERE m < doc_id),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strataflux.llm import ann, bpe, html, langid, licenses, linededup, merkle, neardup, packing, prefixes, quality, substrings, warc
 from strataflux.llm.common import materialise, remove, shared_dir
-from strataflux.llm.oracles import OP9_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
+from strataflux.llm.oracles import OP4_SQL, OP9_SQL, OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,4 +131,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_cascade": OP2_SQL, "op9_substring_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_warc": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
+    return {"op2_quality_cascade": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op9_substring_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL, "op11_warc": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
