@@ -15,6 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strataflux.operators.kernels import linked_phases
+from strataflux.session import staged
+
+#: Rows of a table of images up to which it is sent to every task; longer ones are shuffled.
+IMAGES = 1_000_000
 
 
 def sizes(pixels: DataFrame) -> DataFrame:
@@ -22,6 +26,12 @@ def sizes(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("image").agg((F.max("row") + 1).alias("rows"), (F.max("col") + 1).alias("cols"))
 
 
+def _with_facts(pixels: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pixels with what is known of their image: a table of a row an image, whose length is checked."""
+    facts = staged(facts)
+    return pixels.join(F.broadcast(facts) if facts.count() <= IMAGES else facts, "image")
+
+
 def _starts(at: Column, total: Column, size: int, step: int) -> Column:
     """The starts of all patches that hold a place: every ``step`` from 0, and one that ends where the image does."""
     last = F.floor((total - size) / step) * step
@@ -34,7 +44,7 @@ def _starts(at: Column, total: Column, size: int, step: int) -> Column:
 
 def patches(pixels: DataFrame, size: tuple[int, int], step: tuple[int, int]) -> DataFrame:
     """Pixels once for each patch (top, left) that holds them; images smaller than a patch have none."""
-    both = pixels.join(F.broadcast(sizes(pixels)), "image")  # a row an image
+    both = _with_facts(pixels, sizes(pixels))
     both = both.withColumn("top", F.explode(_starts(F.col("row"), F.col("rows"), size[0], step[0])))
     return both.withColumn("left", F.explode(_starts(F.col("col"), F.col("cols"), size[1], step[1])))
 
@@ -61,7 +71,7 @@ def _cube(own: pd.DataFrame, top: int, left: int, shape: tuple[int, int]) -> np.
 
 def spectrum(pixels: DataFrame, size: tuple[int, int] = (32, 64), every: int = 7) -> DataFrame:
     """image, axis (row or col), k (frequency in cycles a patch) and power: the spectra of whole patches side by side, of every so manyth date, summed over the other axis."""
-    tiled = pixels.join(F.broadcast(sizes(pixels)), "image").withColumns({"top": F.floor(F.col("row") / size[0]) * size[0], "left": F.floor(F.col("col") / size[1]) * size[1]})
+    tiled = _with_facts(pixels, sizes(pixels)).withColumns({"top": F.floor(F.col("row") / size[0]) * size[0], "left": F.floor(F.col("col") / size[1]) * size[1]})
     whole = tiled.where((F.col("top") + size[0] <= F.col("rows")) & (F.col("left") + size[1] <= F.col("cols")))
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
@@ -146,7 +156,7 @@ def refocused(pixels: DataFrame, bands: DataFrame, size: tuple[int, int] = (32,
     ``bands`` is a table as of :func:`band`. Images smaller than a patch have no rows.
     """
     wide = bands.groupBy("image").agg(*(F.max(F.when(F.col("axis") == a, F.col(c))).alias(f"{a}_{c}") for a in ("row", "col") for c in ("first", "last")))
-    dealt = patches(pixels, size, (size[0] // 2, size[1] // 2)).join(F.broadcast(wide), "image")  # a row an image
+    dealt = _with_facts(patches(pixels, size, (size[0] // 2, size[1] // 2)), wide)
     window = np.outer(np.hanning(2 * size[0] + 2)[1:-1], np.hanning(2 * size[1] + 2)[1:-1])
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
@@ -246,7 +256,7 @@ def zoomed(raster: DataFrame, shape: DataFrame, tile: tuple[int, int] = (256, 25
 
     kind = raster.schema["image"].dataType.simpleString()
     dealt = with_halo(raster.select("image", "row", "col", F.col("value").cast("double").alias("value")), tile, (0, 0), (1, 1))
-    dealt = dealt.join(F.broadcast(sizes(raster).join(shape, "image")), "image")  # a row an image
+    dealt = _with_facts(dealt, sizes(raster).join(shape, "image"))
     return dealt.groupBy("image", "tile_row", "tile_col").applyInPandas(run, f"image {kind}, row long, col long, value double")
 
 

@@ -16,10 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from strataflux.session import staged
 from strataflux.streaming.cycle import run_cycle
 from strataflux.streaming.log import Files, last_versions
 
 TILE = ["track", "tile"]
+#: Tiles up to which a list of them is sent to every task; longer ones are shuffled.
+TILES = 100_000
 
 
 class Increments:
@@ -57,7 +60,7 @@ class Increments:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.root}/{name}/batch={b}" for b in batches]
         rows = self.spark.read.schema(StructType([*schema.fields, StructField("batch", IntegerType())])).option("basePath", f"{self.root}/{name}").parquet(*paths)
-        return rows.join(F.broadcast(tiles) if tiles.count() < 100_000 else tiles, [*TILE, "batch"], "left_semi").select(*schema.fieldNames())
+        return rows.join(F.broadcast(tiles) if tiles.count() < TILES else tiles, [*TILE, "batch"], "left_semi").select(*schema.fieldNames())
 
     def _write(self, step: str, df: DataFrame, path: str, *by: str) -> None:
         self.reached(step)
@@ -75,19 +78,20 @@ class Increments:
         old = self._table("series", self.observations, tiles.join(met, TILE, "left_semi"))
         known = old.select(*self.keys, F.col(self.version).alias("_known"))
         fresh = new.join(known, self.keys, "left").where(F.col("_known").isNull() | (F.col(self.version) > F.col("_known"))).select(*TILE).distinct()
-        changed = [tuple(r) for r in fresh.collect()]  # the tiles of the cycle
+        of = staged(fresh)  # the tiles of the cycle
+        changed = of.count()
         if not changed:
             return
-        of = self.spark.createDataFrame(changed, "track string, tile string")
-        whole = last_versions(old.unionByName(new), self.keys, self.version).join(F.broadcast(of), TILE, "left_semi")
+        of = F.broadcast(of) if changed < TILES else of
+        whole = last_versions(old.unionByName(new), self.keys, self.version).join(of, TILE, "left_semi")
         self._write("series", whole.repartition(*TILE).sortWithinPartitions(*self.keys), f"series/batch={batch}", *TILE)
         now = of.withColumn("batch", F.lit(batch))
         self._write("results", self.judge(self._table("series", self.observations, now)).select(*self.results_schema.fieldNames()), f"results/batch={batch}", *TILE)
-        self._write("tiles", tiles.join(F.broadcast(of), TILE, "left_anti").unionByName(now), f"tiles/of={batch}")
+        self._write("tiles", tiles.join(of, TILE, "left_anti").unionByName(now), f"tiles/of={batch}")
         self._write("judgements", self.best(self._table("results", self.results_schema, self._tiles(batch))), f"judgements/of={batch}")
         self._write("alerts", self.alerts(self.judgements(batch), self.judgements(last) if done else self.judgements(batch).limit(0)), f"alerts/of={batch}")
         self.reached("commit")
-        self.files.put(f"commit-{batch}.json", {"batch": batch, "tiles": len(changed)})
+        self.files.put(f"commit-{batch}.json", {"batch": batch, "tiles": changed})
         self.reached("end")
 
     def run(self, landed: DataFrame) -> None:
