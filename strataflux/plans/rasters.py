@@ -125,12 +125,11 @@ def raster_round_trip(spark, sf_dir):
 )
 def numbered_candidates(spark, sf_dir):
     """Candidates numbered in order of row and column, as the inputs of a scatterer run have them."""
-    from strataflux.session import staged
     from strataflux.sources import rasters
 
     k = F.col("p_partkey")
     c = table(spark, sf_dir, "part").where("p_size > 10").select((k % 17).alias("row"), k.alias("col"), F.col("p_retailprice").alias("height"))
-    return staged(rasters.numbered(c, ["row", "col"])).select("id", "row", "col", F.round("height", 3).alias("height"))
+    return rasters.numbered(c, ["row", "col"]).select("id", "row", "col", F.round("height", 3).alias("height"))
 
 
 @query("WITH d AS (SELECT event_type AS tile, count(DISTINCT CAST(ts AS DATE)) AS n FROM events GROUP BY 1), i AS (SELECT event_type AS tile, avg(value - 20) AS m FROM events WHERE value - 20 > 0 GROUP BY 1) SELECT tile, n AS n_dates, round(m, 6) AS inc_mean, n >= 29 AS done FROM d LEFT JOIN i USING (tile)")

@@ -227,8 +227,13 @@ def incidence(spark: SparkSession, path: str, width: int, length: int, dtype: st
 
 
 def numbered(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
-    """Add ``name``, the place from 1 of a row in order of ``keys``: ranges are counted and number their own rows, no task sees all."""
-    own = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    """Add ``name``, the place from 1 of a row in order of ``keys``: ranges are counted and number their own rows, no task sees all.
+
+    The rows are stored in their ranges first: bounds are drawn from a sample, and another run of the same plan may draw others.
+    """
+    from strataflux.session import staged
+
+    own = staged(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("_mid", 33)
     counts = own.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
@@ -241,9 +246,7 @@ def candidate_inputs(candidates: DataFrame, path: str) -> DataFrame:
 
     candidates: row, col, lon, lat, height, da, and arrays re and im of phases over the dates. The phase file has all candidates of the first date, then of the next.
     """
-    from strataflux.session import staged
-
-    c = staged(numbered(candidates, ["row", "col"]))
+    c = numbered(candidates, ["row", "col"])
     lines = lambda text, name: c.orderBy("id").select(text.alias("value")).write.mode("overwrite").text(f"{path}/{name}")
     lines(F.concat_ws(" ", F.col("id").cast("string"), F.col("row").cast("string"), F.col("col").cast("string")), "pscands.1.ij")
     lines(F.format_string("%.6f", "da"), "pscands.1.da")

@@ -109,6 +109,17 @@ def test_candidate_inputs(spark, tmp_path):
     assert joined(f"{tmp_path}/p/pscands.1.ph")[""] == ph.T.tobytes()
 
 
+def test_numbers_do_not_depend_on_drawn_bounds(spark):
+    """Ranges of more rows than their bounds are drawn from; the height, which a count does not need, keeps the plans of count and rows apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 200_000, 1, 8).select((F.col("id") % 17).alias("row"), F.col("id").alias("col"), (F.col("id") * 37 % 1000).alias("height"))
+        got = rasters.numbered(df, ["row", "col"]).agg(F.count("*").alias("n"), F.count_distinct("id").alias("d"), F.min("id").alias("a"), F.max("id").alias("z"), F.max("height").alias("h")).head()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tuple(got) == (200_000, 200_000, 1, 200_000, 999)
+
+
 def test_windows_need_dates_enough(spark):
     dates = spark.createDataFrame([("a", k) for k in range(60)] + [("b", k % 59) for k in range(80)], "tile string, date int")
     inc = spark.createDataFrame([("a", [30.0, -1.0, 40.0]), ("a", [35.0])], "tile string, re array<double>")
