@@ -72,6 +72,15 @@ def test_radius_join_plans_no_nested_loop(spark):
     assert "NestedLoop" not in plan.split("== Physical Plan ==")[1]
 
 
+def test_equal_means_tie_whatever_the_order_of_their_sums(spark):
+    """Two clusters of the same coherences in opposite orders, whose sums differ in the last digit: the smaller id is the centre."""
+    for order in ((0.1, 0.2, 0.3), (0.3, 0.2, 0.1)):
+        coh = order + order[::-1]
+        p = spark.createDataFrame([(1, i, 1000.0 * (i // 3) + i, 0.0, c) for i, c in enumerate(coh)], "tile int, id int, x double, y double, coh double").coalesce(1)
+        got = spatial.densest_cluster(p, 50.0, "id", "coh", ["tile"]).head()
+        assert (got["centre"], got["n_cluster"]) == (0, 3) and got["coh_mean"] == pytest.approx(0.2)
+
+
 def test_level_rises_one_step_at_most(spark):
     df = spark.createDataFrame([(a / 10, b / 10) for a in range(12) for b in range(12)], "a double, b double")
     th = (0.3, 0.5, 0.7)
