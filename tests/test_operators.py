@@ -81,6 +81,19 @@ def test_equal_means_tie_whatever_the_order_of_their_sums(spark):
         assert (got["centre"], got["n_cluster"]) == (0, 3) and got["coh_mean"] == pytest.approx(0.2)
 
 
+def test_copies_at_one_place_make_no_pairs(spark, monkeypatch):
+    """300 rows at each of two places: joins by distance work on the places, and results count every row."""
+    p = spark.range(600).select(F.lit(1).alias("tile"), F.col("id"), (F.col("id") % 2 * 30.0).alias("x"), F.lit(0.0).alias("y"), (F.col("id") % 10 / 10).alias("coh"))
+    made, join = [], spatial.radius_join
+    monkeypatch.setattr(spatial, "radius_join", lambda *a, **k: made.append(join(*a, **k)) or made[-1])
+    best = spatial.densest_cluster(p, 50.0, "id", "coh", ["tile"]).head()
+    assert (best["centre"], best["n_cluster"]) == (0, 600) and best["coh_mean"] == pytest.approx(0.45)
+    near = spatial.nearest_within(p, p.withColumn("id", F.col("id") + 7), 10.0, "id", "id").collect()
+    assert sorted((r["id"], r["near_id"]) for r in near) == [(k, 7 + k % 2) for k in range(600)]
+    assert [df.count() for df in made] == [4, 600]
+    assert spatial.avoid(p, p, 10.0).count() == 0 and "Aggregate" in made[-1]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_level_rises_one_step_at_most(spark):
     df = spark.createDataFrame([(a / 10, b / 10) for a in range(12) for b in range(12)], "a double, b double")
     th = (0.3, 0.5, 0.7)
