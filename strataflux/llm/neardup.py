@@ -37,6 +37,8 @@ COORDINATES, ROOTS = 64, 12
 FEW = 128
 #: Comparisons of sketches (classes outside the pivot's star, times all classes) up to which another node does not branch; levels of branching.
 SMALL, LEVELS = 1 << 25, 6
+#: Classes outside the star up to which a node gets no further pivot; further pivots of a node on a level.
+CROWD, PEELS = 16, 3
 #: Shingles in a block of a star.
 BLOCK_SHINGLES = 200_000
 _rng = np.random.default_rng(20240229)
@@ -115,6 +117,13 @@ def forest(cls: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
     return out
 
 
+def crowd_pivots(outside: DataFrame, salt: Column) -> DataFrame:
+    """(node, pivot) of nodes with more than :data:`CROWD` classes: the class of least hash of those that agree on the commonest sixteen coordinates, if these are two or more."""
+    alike = outside.groupBy("node", "k0").agg(F.count("*").alias("n"), F.min(F.col("cls").bitwiseXOR(salt)).bitwiseXOR(salt).alias("pivot"))
+    most = alike.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "pivot")).alias("m"))
+    return most.where(f"n > {CROWD} and m.n > 1").select("node", "m.pivot")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = FEW, small: int = SMALL, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; linked are sets whose Jaccard similarity is ``percent`` / 100 or more."""
     return _grouped(docs, size, percent, id_col, text_col, few, small, block).drop("cls", "label")
@@ -196,6 +205,12 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
         sets = full_sets(members.select("cls"))
         return materialise(dealt.join(sets.hint("merge"), "cls").groupBy("star", "low", "high").applyInPandas(compare, "a long, b long"))
 
+    def star_of(nodes: DataFrame, pivots: DataFrame) -> DataFrame:
+        """The classes of nodes with their node's pivot, and whether they are near it."""
+        pivots = pivots.join(classes.select(F.col("cls").alias("pivot"), *sketch).hint("merge"), "pivot")
+        near = sizes_fit & (_agree() >= least)
+        return kept_for_now(nodes.alias("a").join(pivots.alias("b").hint("merge"), F.col("a.node") == F.col("b.node")).select("a.*", F.col("b.pivot").alias("star"), near.alias("near")))
+
     def branch(nodes: DataFrame, level: int) -> DataFrame:
         """Children of nodes: a row for each of the coordinates that the node chooses."""
         half = (COORDINATES - ROOTS) // 2
@@ -211,11 +226,18 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
     for level in range(LEVELS):
         salt = F.xxhash64(F.lit(level))
         pivots = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min(F.col("cls").bitwiseXOR(salt)).bitwiseXOR(salt).alias("pivot")).where("n > 1")
-        pivots = pivots.join(classes.select(F.col("cls").alias("pivot"), *sketch).hint("merge"), "pivot")
-        near = sizes_fit & (_agree() >= least)
-        members = nodes.alias("a").join(pivots.alias("b").hint("merge"), F.col("a.node") == F.col("b.node")).select("a.*", F.col("b.pivot").alias("star"), near.alias("near"))
-        members = kept_for_now(members)
-        new = members.where("near").select("star", "cls", "n_shingles").distinct()
+        members = star_of(nodes, pivots)
+        new = members.where("near").select("star", "cls", "n_shingles")
+        # Groups of near copies that a node's pivot is not of get pivots of their own, so that they are not compared in pairs.
+        outside = members.where("not near").drop("star", "near")
+        for _ in range(PEELS):
+            pivots = kept_for_now(crowd_pivots(outside, salt))
+            if pivots.isEmpty():
+                break
+            left = star_of(outside, pivots)
+            new = new.unionByName(left.where("near").select("star", "cls", "n_shingles"))
+            outside = left.where("not near").drop("star", "near")
+        new = new.distinct()
         new = kept_for_now(new.join(new.where("cls <> star").select("star").distinct().hint("merge"), "star"))
         links.append(within_stars(new))
         stars = new if stars is None else stars.unionByName(new)

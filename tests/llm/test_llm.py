@@ -292,6 +292,13 @@ def test_near_duplicates(spark, table):
         assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == want
 
 
+def test_crowded_nodes_get_a_further_pivot(spark):
+    """Node 1 holds twenty alike classes among others, node 2 only classes that differ, node 3 few."""
+    rows = [(1, k, 99) for k in range(20, 40)] + [(1, k, k) for k in range(10)] + [(2, k, k) for k in range(30)] + [(3, k, 7) for k in range(5)]
+    got = neardup.crowd_pivots(spark.createDataFrame(rows, "node long, cls long, k0 long"), F.lit(0).cast("long")).collect()
+    assert [tuple(r) for r in got] == [(1, 20)]
+
+
 def test_forest_spans_the_links():
     r = np.random.default_rng(6)
     for n in (1, 2, 30):
