@@ -254,3 +254,28 @@ def test_equal_names_take_the_last_id(spark):
     reg = spark.createDataFrame([("r1", "A", 37.1, 128.5), ("r3", "A", 37.1, 128.5), ("r2", "A", 37.1, 128.5)], "bridge string, name string, lat double, lon double")
     res = spark.createDataFrame([("old", "A", 37.1, 128.5, 1)], "bridge string, name string, lat double, lon double, level int")
     assert [r["bridge"] for r in history.known_structures(res, reg).collect()] == ["r3"]
+
+
+def test_a_point_is_fitted_once_and_medians_meet_places(spark):
+    """Three decks share 30 ring points at two places and 3 points on the decks: rows grow neither with decks nor with points that say the same."""
+    n = 60
+    r = np.random.default_rng(5)
+    t = np.arange(n) * 24 / 365.25
+    kinds = [np.round(a * t + r.normal(size=n), 3) for a in (1.0, -2.0, 0.5)]
+    pts = [(1, k, 90.0 if k < 20 else 95.0, 0.0, "PS") for k in range(30)] + [(1, 100 + k, 0.0, 1.0, "PS") for k in range(3)]
+    y = {p: kinds[p % 2 if p < 100 else p - 100] for _, p, *_ in pts}
+    obs = spark.createDataFrame([(1, p, day(24 * i), float(t[i]), float(v[i]), 0.0) for p, v in y.items() for i in range(n)], "tile int, point int, date date, t double, y double, dtemp double")
+    points = spark.createDataFrame(pts, "tile int, point int, x double, y double, src string")
+    decks = spark.createDataFrame([(1, b, float(b), 0.0, 0.0, 1.0, 60.0, 10.0, "1종", None) for b in range(3)], "tile int, bridge int, x0 double, y0 double, ax double, ay double, len double, width double, cls string, type string")
+    parts = structures.deck_parts(decks, points, obs)
+    assert parts.fits.count() == len(pts)
+    assert parts.values.count() == (2 * 2 + 3) * n and parts.values.agg(F.sum("n")).head()[0] == len(pts) * n
+    ring = np.median([y[p] for p in range(30)], axis=0)
+    got = {(x["bridge"], x["date"]): x["g"] for x in parts.ring_series.collect()}
+    assert len(got) == 3 * n and all(got[b, day(24 * i)] == pytest.approx(ring[i]) for b in range(3) for i in range(n))
+    node = np.median(kinds, axis=0)
+    rows = parts.nodes.collect()
+    assert {x["bridge"] for x in rows} == {0, 1, 2} and all(x["y"] == pytest.approx(node[round(x["t"] * 365.25 / 24)]) for x in rows)
+    v = [fit(t, y[p])[0] for p in range(30)]
+    for x in parts.surroundings.collect():
+        assert x["n_ring"] == 30 and x["v_med"] == pytest.approx(np.median(v)) and x["v_sig"] == pytest.approx(1.4826 * np.median(np.abs(v - np.median(v))))
