@@ -11,13 +11,21 @@ from strataflux.operators import results
 from strataflux.plans.queries import query, table
 from strataflux.streaming import cycle, watch
 from strataflux.streaming.increment import Increments
+from strataflux.streaming.log import Files
+
+#: Bytes of a landed file that a task reads.
+ROW_GROUP = 4 << 20
 
 
 def _landing(df: DataFrame, by) -> str:
-    """The rows of a table as files that landed one after the other, in the shared folder."""
-    base = cycle.shared(df.sparkSession)
-    for k in sorted(r[0] for r in df.select(by.alias("k")).distinct().collect()):  # a few files
-        df.where(by == k).coalesce(1).write.parquet(f"{base}/in/{k:03d}")
+    """The rows of a table as files that landed one after the other, in the shared folder. They are dealt to the files in one pass over the table; a file has many row groups, which many tasks read."""
+    spark, base = df.sparkSession, cycle.shared(df.sparkSession)
+    rows = df.withColumn("_landing", by)
+    rows.write.partitionBy("_landing").parquet(f"{base}/dealt")
+    dealt = spark.read.schema(rows.schema).parquet(f"{base}/dealt")
+    for k in sorted(r[0] for r in dealt.select("_landing").distinct().collect()):  # a few files
+        dealt.where(F.col("_landing") == k).drop("_landing").coalesce(1).write.option("parquet.block.size", ROW_GROUP).parquet(f"{base}/in/{k:03d}")
+    Files(spark, base).delete("dealt")
     return base
 
 

@@ -3,7 +3,8 @@
 A cycle takes what has landed since the last one, replaces the series of the (track, tile) that really change, judges only these anew, puts the
 best results of all tiles into the history, and compares them with the cycle before. All of it lies in folders of the cycle's own number; a single
 commit file, put in place by a rename, makes it count. A cycle that dies at any point leaves the state before, and runs again with the
-same files and number. Files that bring nothing new write nothing.
+same files and number. Files that bring nothing new write nothing. What landed is read once, and meets the rows before in one shuffle; what a
+cycle keeps of this for itself lies in ``work`` and goes with its end.
 
 Tables under the root: ``series`` and ``results`` (by batch, track, tile), ``tiles`` (track, tile and the batch that holds their rows), ``judgements``
 and ``alerts`` (by batch). Results must have bridge and level; a date that comes again counts by its version.
@@ -66,24 +67,42 @@ class Increments:
         self.reached(step)
         df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.root}/{path}")
 
+    def _work(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` as a table of this cycle's own, which several steps read."""
+        path = f"{self.root}/work/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _merged(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        """The last versions of old and new rows; ``_fresh`` where the new row is later. Each key has two rows at most, so one shuffle deals them evenly."""
+        rest = [c for c in self.observations.fieldNames() if c not in self.keys and c != self.version]
+        both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True))).repartition(*self.keys)
+        known, arrived = (F.max(F.when(F.col("_new") == n, F.col(self.version))) for n in (False, True))
+        out = both.groupBy(*self.keys).agg(F.max(F.struct(self.version, *rest)).alias("_m"), (F.bool_or("_new") & (known.isNull() | (arrived > known))).alias("_fresh"))
+        return out.select(*(F.col(c) if c in self.keys else F.col(f"_m.{c}").alias(c) for c in self.observations.fieldNames()), "_fresh")
+
     def step(self, landed: DataFrame, batch: int) -> None:
         """One cycle; a number that is committed already does nothing."""
+        try:
+            self._step(landed, batch)
+        finally:
+            self.files.delete("work")
+
+    def _step(self, landed: DataFrame, batch: int) -> None:
         done = self.commits()
         if done and batch <= done[-1]:
             return
         last = done[-1] if done else None
         tiles = self._tiles(last)
-        new = last_versions(landed.select(*self.observations.fieldNames()), self.keys, self.version)
+        new = self._work("new", last_versions(landed.select(*self.observations.fieldNames()), self.keys, self.version))
         met = new.select(*TILE).distinct()
-        old = self._table("series", self.observations, tiles.join(met, TILE, "left_semi"))
-        known = old.select(*self.keys, F.col(self.version).alias("_known"))
-        fresh = new.join(known, self.keys, "left").where(F.col("_known").isNull() | (F.col(self.version) > F.col("_known"))).select(*TILE).distinct()
-        of = staged(fresh)  # the tiles of the cycle
+        merged = self._work("merged", self._merged(self._table("series", self.observations, tiles.join(met, TILE, "left_semi")), new))
+        of = staged(merged.where("_fresh").select(*TILE).distinct())  # the tiles of the cycle
         changed = of.count()
         if not changed:
             return
         of = F.broadcast(of) if changed < TILES else of
-        whole = last_versions(old.unionByName(new), self.keys, self.version).join(of, TILE, "left_semi")
+        whole = merged.drop("_fresh").join(of, TILE, "left_semi")
         self._write("series", whole.repartition(*TILE).sortWithinPartitions(*self.keys), f"series/batch={batch}", *TILE)
         now = of.withColumn("batch", F.lit(batch))
         self._write("results", self.judge(self._table("series", self.observations, now)).select(*self.results_schema.fieldNames()), f"results/batch={batch}", *TILE)

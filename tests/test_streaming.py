@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflux.operators import results
+from strataflux.plans import monitoring
 from strataflux.streaming import watch
 from strataflux.streaming.increment import Increments
-from strataflux.streaming.log import KeyedLog
+from strataflux.streaming.log import Files, KeyedLog
 
 
 def landed(spark, path, batches, schema):
@@ -173,3 +174,38 @@ def test_killed_cycles_run_again(spark, tmp_path, where):
     again = monitor(spark, f"{tmp_path}/m")
     again.step(spark.createDataFrame(batches[1], OBS), 1)
     assert tables(again) == tables(clean)
+
+
+def counted(df, seen):
+    """``df``, which adds the rows that are read of it to an accumulator each time it is computed."""
+
+    def count(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    return df.mapInPandas(count, df.schema)
+
+
+def test_a_cycle_reads_what_landed_once(spark, tmp_path):
+    batches = batches_of(5)
+    m, plain = monitor(spark, f"{tmp_path}/m"), monitor(spark, f"{tmp_path}/plain")
+    for k, b in enumerate(batches):
+        seen = spark.sparkContext.accumulator(0)
+        df = spark.createDataFrame(b, OBS)
+        m.step(counted(df, seen), k)
+        plain.step(df, k)
+        assert seen.value == len(b)
+    assert tables(m) == tables(plain) and m.commits() == [0, 1, 3]
+    assert "work" not in m.files.list()
+
+
+def test_landing_reads_its_table_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    base = monitoring._landing(counted(spark.range(40).select("id", (F.col("id") * 2).alias("v")), seen), (F.col("id") % 4).cast("int"))
+    assert seen.value == 40
+    files = Files(spark, base)
+    assert files.list() == ["in"] and files.list("in") == ["000", "001", "002", "003"]
+    for k in range(4):
+        assert sum(n.endswith(".parquet") for n in files.list(f"in/{k:03d}")) == 1
+        assert sorted(map(tuple, spark.read.parquet(f"{base}/in/{k:03d}").collect())) == [(i, 2 * i) for i in range(40) if i % 4 == k]
